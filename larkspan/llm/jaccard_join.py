@@ -172,10 +172,10 @@ def _cut(big: DataFrame, block_bytes: int, pivots: int) -> tuple[DataFrame, Data
     reach = 1 - PERCENT / 100 + 1e-9
     chosen = big.select("block", "id", F.row_number().over(_by_hash()).alias("turn")).where(F.col("turn") <= pivots).drop("turn")
     sides = big.groupBy("block").agg(F.ceil(F.sum(8 * F.col("n")) * 4 / block_bytes).cast("int").alias("salts"))
-    pivot = chosen.join(big, ["block", "id"]).join(sides, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("hs").alias("pivot_hs"))
+    pivot = chosen.join(big, ["block", "id"]).join(sides, "block").select(F.col("block").alias("at"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("side"), F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("hs").alias("pivot_hs"))
     docs = big.join(F.broadcast(sides) if sides.count() < 10_000 else sides, "block").withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.col("salts")).cast("int"))
     far = written(
-        docs.groupBy("block", "salt").cogroup(pivot.groupBy("block", "salt")).applyInPandas(_to_pivots, "block string, id long, n long, pivots array<long>, d array<double>, near array<boolean>"), "pivot-distances"
+        docs.groupBy("block", "salt").cogroup(pivot.groupBy("at", "side")).applyInPandas(_to_pivots, "block string, id long, n long, pivots array<long>, d array<double>, near array<boolean>"), "pivot-distances"
     )
     each = far.select("block", "id", F.explode(F.arrays_zip("pivots", "d", "near")).alias("x")).select("block", "id", "x.*")
     edges = each.where("near").select(F.col("id").alias("src"), F.col("pivots").alias("dst"))
