@@ -114,10 +114,12 @@ def range_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased words of all texts, one after the other, and each text's number of words."""
+def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the words of all texts, one after the other: the bytes they stand in, starts, ends, hashes of the lower-cased
+    words; and each text's number of words."""
     if not texts:
-        return np.empty(0, np.uint64), np.zeros(0, np.int64)
+        none = np.empty(0, np.int64)
+        return np.empty(0, np.uint8), none, none, np.empty(0, np.uint64), none
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts])
     space = _SPACE[joined]
@@ -125,7 +127,12 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     start, end = edge[::2], edge[1::2]
     hashes = range_hashes(prefix_hashes(_LOWER[joined]), start, end)
     upto = np.searchsorted(start, ends)
-    return hashes, np.diff(np.concatenate(([0], upto)))
+    return joined, start, end, hashes, np.diff(np.concatenate(([0], upto)))
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of all texts, one after the other, and each text's number of words."""
+    return word_spans(texts)[3:]
 
 
 def shingle_sets(texts: list[bytes], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
