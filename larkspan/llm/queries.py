@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import decontamination, exact_dedup, jaccard_join, packing, toxicity
+from larkspan.llm import decontamination, exact_dedup, html_extraction, jaccard_join, packing, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Rows with at least this score are toxic.
@@ -39,6 +39,14 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_packages(warc.write_packages(table(spark, sf_dir, "pages")), with_payload=False).withColumnRenamed("id", "page_id")
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 OP2_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
@@ -46,3 +54,14 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
        min(doc_id) OVER (PARTITION BY h) <= (SELECT (min(doc_id) + max(doc_id)) // 2 FROM documents) AS in_history
 FROM d
 """
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+     m AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, coalesce(url, 'urn:page:' || page_id) AS url, octet_length(encode(html)) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(h, CAST((i // 4) * 5 + 1 AS BIGINT), 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM m
+"""
