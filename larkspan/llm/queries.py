@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import decontamination, exact_dedup, html_extraction, jaccard_join, packing, toxicity, warc
+from larkspan.llm import decontamination, exact_dedup, html_extraction, jaccard_join, packing, suffix_dedup, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Rows with at least this score are toxic.
@@ -47,6 +47,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
 OP2_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
