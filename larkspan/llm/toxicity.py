@@ -33,6 +33,8 @@ DISCOUNT = 0.75
 MIN_TOXIC = 2
 #: About 40 bytes a row in Spark's hash table: 80 MB at most.
 BROADCAST_ROWS = 2_000_000
+#: Labels of three numbers each, broadcast to the texts only up to so many (about 40 MB); beyond, texts are shuffled.
+LABEL_ROWS = 1_000_000
 BINS = 4096
 #: Ratios outside of this range go to the outer bins.
 SPAN = 8.0
@@ -118,7 +120,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     fits the curve; the others give the counts."""
     own = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max((F.col(label_col) > 0).cast("long")).alias("toxic")).withColumn("fold", fold("id"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    taught = texts.join(own.where(~F.col("fold").isin(held_out, calibrating)), "id")
+    teaching = written(own, "labels").where(~F.col("fold").isin(held_out, calibrating))
+    taught = texts.join(F.broadcast(teaching) if teaching.count() <= LABEL_ROWS else teaching, "id")
     table = model(written(expression_counts(taught.select("toxic", words_of(F.col("text")).alias("words"))), "word-counts"))
     table = written(table, "toxic-words") if table is not None else None
     scored = written(ratios(texts, table), "toxic-ratios")
