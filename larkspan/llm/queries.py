@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspan.llm import decontamination, exact_dedup, html_extraction, jaccard_join, packing, suffix_dedup, toxicity, warc
+from larkspan.llm import decontamination, exact_dedup, html_extraction, jaccard_join, line_dedup, packing, pii, suffix_dedup, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Rows with at least this score are toxic.
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -31,6 +36,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC_SCORE).cast("int"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is for tests; a deployment sets its own in spark.larkspan.pii.key."""
+    key = spark.conf.get("spark.larkspan.pii.key", "larkspan test key")
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), key)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -69,3 +80,16 @@ SELECT page_id, coalesce(url, 'urn:page:' || page_id) AS url, octet_length(encod
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM m
 """
+
+OP1_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+     k AS (SELECT doc_id, i, raw, trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g')) AS key FROM l),
+     w AS (SELECT doc_id, i, key AS k1, lead(key, 1) OVER d AS k2, lead(key, 2) OVER d AS k3 FROM k WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+     r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k1, k2, k3 ORDER BY doc_id, i) AS turn FROM w WHERE k3 IS NOT NULL),
+     gone AS (SELECT DISTINCT doc_id, i + s AS i FROM r, (SELECT unnest(range(3)) AS s) WHERE turn > 1),
+     m AS (SELECT k.doc_id, k.i, k.raw, gone.i IS NOT NULL AS off, lag(gone.i IS NOT NULL, 1, false) OVER (PARTITION BY k.doc_id ORDER BY k.i) AS before
+           FROM k LEFT JOIN gone ON k.doc_id = gone.doc_id AND k.i = gone.i)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (off) AS n_removed, count(*) FILTER (off AND NOT before) AS n_runs,
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (NOT off), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
