@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -114,25 +115,27 @@ def range_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
-def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the words of all texts, one after the other: the bytes they stand in, starts, ends, hashes of the lower-cased
-    words; and each text's number of words."""
+def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the words of all texts, one after the other: the bytes they stand in, starts and ends; each text's words."""
     if not texts:
         none = np.empty(0, np.int64)
-        return np.empty(0, np.uint8), none, none, np.empty(0, np.uint64), none
+        return np.empty(0, np.uint8), none, none, none
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts])
-    space = _SPACE[joined]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[joined])).view(np.int8)))
     start, end = edge[::2], edge[1::2]
-    hashes = range_hashes(prefix_hashes(_LOWER[joined]), start, end)
-    upto = np.searchsorted(start, ends)
-    return joined, start, end, hashes, np.diff(np.concatenate(([0], upto)))
+    return joined, start, end, np.diff(np.concatenate(([0], np.searchsorted(start, ends))))
+
+
+def lower_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the lower-cased (A-Z) bytes of each range."""
+    return range_hashes(prefix_hashes(_LOWER[data]), start, end)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of all texts, one after the other, and each text's number of words."""
-    return word_spans(texts)[3:]
+    data, start, end, counts = word_spans(texts)
+    return lower_hashes(data, start, end), counts
 
 
 def shingle_sets(texts: list[bytes], k: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -183,3 +186,21 @@ def pieces(texts: list[bytes], limit: int = 1 << 21):
         held += len(t) + 1
     if start < len(texts):
         yield start, len(texts)
+
+
+def trim() -> None:
+    """Give freed memory back to the system: a reused worker keeps what the C library holds."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def slices(batches, rows: int = 2048):
+    """Arrow batches in slices of bounded numbers of rows; memory goes back at the end of a task."""
+    try:
+        for batch in batches:
+            for low in range(0, batch.num_rows, rows):
+                yield batch.slice(low, rows)
+    finally:
+        trim()

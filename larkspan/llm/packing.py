@@ -18,8 +18,6 @@ are separate documents; an empty table gives no rows; other columns are not read
 from __future__ import annotations
 
 import os
-import re
-import unicodedata
 import zlib
 
 import numpy as np
@@ -29,24 +27,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import text_of, written
+from larkspan.llm.common import encoded, lower_hashes, pieces, slices, text_of, word_spans, written
 
 END_TOKEN = 2
 LENGTH = 4096
 #: Sequences in a window that has the target proportions.
 WINDOW_SEQUENCES = 64
 #: Distinct words whose ids a worker remembers.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_000_000
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
+_PLAIN = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
+_LETTER = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
+
+
+def without_tails(data: np.ndarray, start: np.ndarray, end: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of which a tail of ASCII marks stands alone, where it is a pre-token of its own: behind an ASCII letter or
+    digit, or a letter of U+00C0 to U+00FF."""
+    if not len(start):
+        return start, end, counts
+    core = np.maximum.accumulate(np.where(_PLAIN[data], -1, np.arange(len(data))))[end - 1] + 1
+    last, before = data[core - 1], data[np.maximum(core - 2, 0)]
+    cut = (core < end) & (core > start) & (_LETTER[last] | (before == 0xC3) & (last >= 128) & (last != 0x97) & (last != 0xB7))
+    extra = cut.astype(np.int64)
+    at = np.arange(len(start)) + np.cumsum(extra) - extra
+    starts, ends = np.empty(len(start) + extra.sum(), np.int64), np.empty(len(start) + extra.sum(), np.int64)
+    starts[at], ends[at] = start, np.where(cut, core, end)
+    starts[at[cut] + 1], ends[at[cut] + 1] = core[cut], end[cut]
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return starts, ends, counts + np.bincount(owner[cut], minlength=len(counts))
+
+
 class Encoder:
-    """Ids by the tokenizer's file. Words of plain Latin texts are looked up after their first encoding.
+    """Ids by the tokenizer's file, looked up for words that a worker has met before.
 
-    The tokenizer encodes each pre-token on its own, so a text's ids are those of its pre-tokens, end to end. Texts
-    beyond the letters for which this module knows the pre-tokens, or with a special token's mark, take the
-    tokenizer's own way.
+    The tokenizer drops white space, folds case and encodes each pre-token on its own, and no pre-token holds white
+    space; so a text's ids are those of its words between white space, end to end. Texts with a special token's mark
+    take the tokenizer's own way. Words are known by 64-bit hashes of their bytes, in sorted arrays of about 20 bytes a
+    word.
     """
 
     def __init__(self, path: str):
@@ -54,37 +74,59 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        known = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA1, 0x180)) if c not in (0xAD, 0x130)]
-        letters = "".join(re.escape(c) for c in known if unicodedata.category(c)[0] == "L")
-        numbers = "".join(re.escape(c) for c in known if unicodedata.category(c)[0] == "N")
-        self.plain = re.compile("[\t\n\x0b\x0c\r  " + "".join(map(re.escape, known)) + "]*")
-        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
-        self.memo: dict[str, bytes] = {}
-
-    def _all(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        out: list[bytes | None] = [None] * len(texts)
-        odd = []
-        for i, text in enumerate(texts):
-            if "<|" in text or not self.plain.fullmatch(text):
-                odd.append(i)
-                continue
-            words = self.parts.findall(text.lower())
-            try:
-                out[i] = b"".join(map(self.memo.__getitem__, words))
-            except KeyError:
-                if len(self.memo) > MEMO_WORDS:
-                    self.memo.clear()
-                new = [w for w in set(words) if w not in self.memo]
-                self.memo.update(zip(new, self._all(new), strict=True))
-                out[i] = b"".join(map(self.memo.__getitem__, words))
-        if odd:
-            for i, ids in zip(odd, self._all([texts[i] for i in odd]), strict=True):
-                out[i] = ids
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.place, self.size, self.ids = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def _all(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Ids of new words, from one text of some thousands of them and the places its tokens have there."""
+        sizes, found = [], []
+        for low in range(0, len(words), 4096):
+            own = words[low : low + 4096]
+            made = self.tokenizer.encode(" ".join(own), add_special_tokens=False)
+            found.append(np.array(made.ids, np.uint32))
+            ends = np.cumsum([len(w) + 1 for w in own])
+            sizes.append(np.diff(np.searchsorted(np.array([a for a, _ in made.offsets], np.int64), ends), prepend=0))
+        size = np.concatenate(sizes)
+        at = np.searchsorted(self.keys, keys)
+        self.place = np.insert(self.place, at, len(self.ids) + np.cumsum(size) - size)
+        self.keys, self.size, self.ids = np.insert(self.keys, at, keys), np.insert(self.size, at, size), np.concatenate([self.ids, *found])
+
+    def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
+        data, start, end, counts = word_spans(texts)
+        start, end, counts = without_tails(data, start, end, counts)
+        distinct, first, which = np.unique(lower_hashes(data, start, end), return_index=True, return_inverse=True)
+        if len(self.keys) > MEMO_WORDS:
+            self._forget()
+        new = np.flatnonzero(self._unknown(distinct))
+        if len(new):
+            raw = data.tobytes()
+            self._learn(distinct[new], [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
+        at = np.searchsorted(self.keys, distinct)[which]
+        size = self.size[at] if len(at) else at
+        done = np.cumsum(size)
+        ids = self.ids[np.repeat(self.place[at] - (done - size), size) + np.arange(done[-1])] if len(at) else self.ids[:0]
+        return np.split(ids, np.concatenate(([0], done))[np.cumsum(counts)[:-1]])
+
+    def _unknown(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.ones(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] != keys
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """Unsigned 32-bit ids of each text."""
+        plain = [i for i, t in enumerate(texts) if "<|" not in t]
+        odd = [i for i, t in enumerate(texts) if "<|" in t]
+        own, found = encoded([texts[i] for i in plain]), {}
+        for low, high in pieces(own):
+            found.update(zip(plain[low:high], self._plain(own[low:high]), strict=True))
+        found.update(zip(odd, self._all([texts[i] for i in odd]), strict=True))
+        return [found[i] for i in range(len(texts))]
 
 
 def encoder(path: str) -> Encoder:
@@ -162,19 +204,17 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
 
     def run(batches):
         part, seen, encode = TaskContext.get().partitionId(), {}, encoder(tokenizer)
-        for batch in batches:
-            rows = batch.to_pydict()
-            for low in range(0, batch.num_rows, 256):
-                id_, source = rows["id"][low : low + 256], rows["source"][low : low + 256]
-                ids = [np.append(np.frombuffer(x, "<u4"), np.uint32(END_TOKEN)) for x in encode(rows["text"][low : low + 256])]
-                first = []
-                for s, x in zip(source, ids, strict=True):
-                    first.append(seen.get(s, 0))
-                    seen[s] = first[-1] + len(x)
-                packed = [(x.astype("<u2") if x.max() < 1 << 16 else x).tobytes() for x in ids]
-                yield pa.RecordBatch.from_pydict(
-                    {"id": pa.array(id_, pa.int64()), "source": source, "part": pa.array([part] * len(ids), pa.int32()), "first": pa.array(first, pa.int64()), "n": pa.array(map(len, ids), pa.int64()), "ids": pa.array(packed, pa.binary())}
-                )
+        for batch in slices(batches):
+            source = batch.column("source").to_pylist()
+            ids = [np.append(x, np.uint32(END_TOKEN)) for x in encode(batch.column("text").to_pylist())]
+            first = []
+            for s, x in zip(source, ids, strict=True):
+                first.append(seen.get(s, 0))
+                seen[s] = first[-1] + len(x)
+            packed = [(x.astype("<u2") if x.max() < 1 << 16 else x.astype("<u4")).tobytes() for x in ids]
+            yield pa.RecordBatch.from_pydict(
+                {"id": batch.column("id"), "source": source, "part": pa.array([part] * len(ids), pa.int32()), "first": pa.array(first, pa.int64()), "n": pa.array(map(len, ids), pa.int64()), "ids": pa.array(packed, pa.binary())}
+            )
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), text_of(text_col).alias("text"))
     return written(rows.mapInArrow(run, "id long, source string, part int, first long, n long, ids binary"), "token-ids")
