@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from larkspan.plans.oracles import ORACLES
+from larkspan.plans.queries import QUERIES
+
 FLAGSHIP = "w5_merge_segments"
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
