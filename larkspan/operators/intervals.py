@@ -185,28 +185,27 @@ def longest_middles_with_fallback(segments: DataFrame, group: list[str], lengths
 
 
 def probe_windows(segments: DataFrame, targets: DataFrame, length: float, key: str = "id") -> DataFrame:
-    """For each target time (key, at): the first segment with room for ``length`` at or after it; the window starts at the
-    target if it lies in the segment with room behind it, at the segment's start if the segment begins later, and else
-    ends with the segment."""
-    room = targets.join(segments, key).where((F.col("end") - F.col("start") >= length) & (F.col("end") > F.col("at")))
-    begin = F.when(F.col("start") >= F.col("at"), F.col("start")).when(F.col("at") + length <= F.col("end"), F.col("at")).otherwise(F.col("end") - length)
+    """For each target time (key, at): the first segment of at least ``length`` that begins at or after it, whose first part
+    it is, or that ends no earlier than the target plus ``length``, whose last part it is."""
+    begins, reaches = F.col("start") >= F.col("at"), F.col("end") >= F.col("at") + length
+    room = targets.join(segments, key).where((F.col("end") - F.col("start") >= length) & (begins | reaches))
     first = Window.partitionBy(key, "at").orderBy("start", "end")
+    begin = F.when(begins, F.col("start")).otherwise(F.col("end") - length)
     return room.withColumn("__turn", F.row_number().over(first)).where("__turn = 1").select(key, "at", begin.alias("start"), (begin + length).alias("end"))
 
 
 def spread_probes(segments: DataFrame, key: str = "id", count: int = 5, lengths: tuple[float, ...] = (5.0, 3.0, 1.0)) -> DataFrame:
-    """``count`` evenly spaced windows of a file, without near repeats, of the first length that gives more than one."""
-    ends = segments.groupBy(key).agg(F.min("start").alias("__low"), F.max("end").alias("__high"))
-    step = (F.col("__high") - F.col("__low")) / count
-    targets = ends.select(key, F.explode(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.col("__low") + i * step)).alias("at"))
+    """``count`` windows of a file, spread over its speech, without near repeats, of the first length that gives more than
+    one (else of the last)."""
+    total = segments.groupBy(key).agg((F.sum(F.col("end") - F.col("start")) / count + 1).alias("__step"))
+    targets = total.select(key, F.explode(F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: i * F.col("__step"))).alias("at"))
     found = None
     for turn, length in enumerate(lengths):
         own = probe_windows(segments, targets, length, key).withColumn("__near", F.round("start", 6)).dropDuplicates([key, "__near"]).drop("__near", "at").withColumn("length", F.lit(length)).withColumn("__turn", F.lit(turn))
         found = own if found is None else found.unionByName(own)
-    many = Window.partitionBy(key, "__turn")
-    counted = found.withColumn("__n", F.count(F.lit(1)).over(many))
-    best = Window.partitionBy(key)
-    return counted.withColumn("__best", F.min(F.when((F.col("__n") > 1) | (F.col("__turn") == len(lengths) - 1), F.col("__turn"))).over(best)).where("__turn = __best").drop("__turn", "__n", "__best")
+    counted = found.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(key, "__turn")))
+    good = F.when((F.col("__n") > 1) | (F.col("__turn") == len(lengths) - 1), F.col("__turn"))
+    return counted.withColumn("__best", F.min(good).over(Window.partitionBy(key))).where("__turn = __best").drop("__turn", "__n", "__best")
 
 
 def least_length(duration: Column) -> Column:

@@ -36,7 +36,7 @@ ORACLES = {
     "top_speakers_non_lt": f"WITH s AS ({SPEAKERS}) SELECT sp, sum(duration_non_lt) AS total FROM s GROUP BY sp ORDER BY total DESC, sp LIMIT 10",
     "cap_sweep": f"WITH s AS ({SPEAKERS}), x AS (SELECT duration + duration_non_lt AS v FROM s), h(h) AS (VALUES {_CAPS}) SELECT CAST(h AS DOUBLE) AS cap, sum(least(v, h * 3600.0::DOUBLE)) AS capped, count(*) FILTER (v > h * 3600.0::DOUBLE) AS over, sum(v) - sum(least(v, h * 3600.0::DOUBLE)) AS trimmed FROM x, h GROUP BY h",
     "file_scan": f"WITH f AS ({FILES}) SELECT id, path, duration_in_sec, source FROM f ORDER BY path, id",
-    "sources_scan": f"WITH f AS ({FILES}) SELECT id, path FROM f WHERE source IN ('src_0', 'src_1', 'web', 'books')",
+    "sources_scan": f"WITH f AS ({FILES}) SELECT id, path FROM f WHERE source IN ('src0', 'src1')",
     "speaker_durations": f"WITH s AS ({SEGMENTS}) SELECT id, speaker, round(sum(\"end\" - start), 3) AS duration_in_sec, CAST(count(*) AS INT) AS segments FROM s GROUP BY ALL",
     "speaker_split_durations": "SELECT source AS cluster, CAST(sum(CASE WHEN l.doc_id IS NOT NULL AND lang = 'en' THEN n_chars ELSE 0 END) AS DOUBLE) AS duration, CAST(sum(CASE WHEN l.doc_id IS NOT NULL AND lang <> 'en' THEN n_chars ELSE 0 END) AS DOUBLE) AS duration_non_lt FROM documents d LEFT JOIN (SELECT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY source",
     "source_gender_stats": f"WITH g AS ({_GENDERED}) SELECT source, gender, sum(secs) AS duration, sum(CASE WHEN source = 'crawl' THEN secs * 4 ELSE secs END) AS augmented, count(*) AS segments, count(DISTINCT gs) AS speakers, grouping(source) AS level FROM g GROUP BY GROUPING SETS ((source, gender), (gender))",

@@ -62,7 +62,7 @@ def file_scan(spark, sf_dir):
 
 @query
 def sources_scan(spark, sf_dir):
-    return scans.files_of(files(spark, sf_dir), ["src_0", "src_1", "web", "books"]).select("id", "path")
+    return scans.files_of(files(spark, sf_dir), ["src0", "src1"]).select("id", "path")
 
 
 @query
