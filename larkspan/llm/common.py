@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,8 +189,18 @@ def pieces(texts: list[bytes], limit: int = 1 << 21):
         yield start, len(texts)
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def lean(spark: SparkSession) -> None:
+    """Smaller Arrow batches between Spark and its Python workers: texts are long, and a batch is held on both sides."""
+    if spark.conf.get(_BATCH, "67108864b") in ("67108864b", "67108864", "64m", "64MB"):  # the default
+        spark.conf.set(_BATCH, "4m")
+
+
 def trim() -> None:
-    """Give freed memory back to the system: a reused worker keeps what the C library holds."""
+    """Give freed memory back to the system: a reused worker keeps what the C library and Arrow hold."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import _INVERSE, encoded, forget, mix, powers, prefix_hashes, range_hashes, text_of, written
+from larkspan.llm.common import _INVERSE, encoded, forget, lean, mix, powers, prefix_hashes, range_hashes, slices, text_of, written
 
 WINDOW = 200
 PREFIX = 50
@@ -95,7 +95,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def find_anchors(docs: DataFrame) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             row, s0, s1, h, u = anchors(encoded(batch.column("text").to_pylist()))
             ids, th = batch.column("id").to_numpy(), batch.column("th").to_numpy()
             for low in range(0, len(row), 1 << 18):
@@ -206,14 +206,18 @@ def repeated_ranges(docs: DataFrame, batches: int = BATCHES, hot_contexts: int =
     forget(found, *(x for x in family.levels if x is not None))
     places = unsure.groupBy("id", "th").agg(F.collect_list(F.struct("h50", "n", "different", "s0", "s1")).alias("places"))
 
-    def cut(frames):
-        for batch in frames:
-            for key, th, text, places in zip(batch["id"], batch["th"], encoded(batch["text"]), batch["places"], strict=True):
-                p = pd.DataFrame(list(places))
-                yield p.assign(id=key, th=th, context=[text[a : b + WINDOW] for a, b in zip(p["s0"], p["s1"], strict=True)])
+    def cut(batches):
+        for batch in slices(batches, 512):
+            lists, texts = batch.column("places"), encoded(batch.column("text").to_pylist())
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            flat = lists.flatten()
+            field = {k: flat.field(k) for k in ("h50", "n", "different", "s0", "s1")}
+            context = [texts[o][a : b + WINDOW] for o, a, b in zip(owner.tolist(), field["s0"].to_pylist(), field["s1"].to_pylist(), strict=True)]
+            keys = {k: batch.column(k).take(pa.array(owner)) for k in ("id", "th")}
+            yield pa.RecordBatch.from_pydict(field | keys | {"context": pa.array(context, pa.binary())})
 
     schema = "h50 long, n long, different long, s0 int, s1 int, id long, th long, context binary"
-    known = written(docs.join(places, ["id", "th"]).select("id", "th", "text", "places").mapInPandas(cut, schema), "contexts")
+    known = written(docs.join(places, ["id", "th"]).select("id", "th", "text", "places").mapInArrow(cut, schema), "contexts")
     few = known.where(F.col("different") <= hot_contexts)
     size = few.agg(F.sum(F.octet_length("context"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
@@ -229,6 +233,7 @@ def repeated_ranges(docs: DataFrame, batches: int = BATCHES, hot_contexts: int =
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """Per document: id, n_bytes, n_removed, spans (maximal removed ranges of bytes), kept_sha256."""
+    lean(docs.sparkSession)
     own = _keyed(docs, id_col, text_col)
     ranges = repeated_ranges(own, batches, hot_contexts).groupBy("id", "th").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
     return own.join(ranges, ["id", "th"], "left").select("own", "text", "ranges").mapInPandas(_cut, "own long, n_bytes long, n_removed long, spans array<struct<low: long, high: long>>, kept_sha256 string").withColumnRenamed("own", id_col)
