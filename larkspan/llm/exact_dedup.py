@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import WS, mix, text_of, written
+from larkspan.llm.common import lean, mix, text_of, written, WS
 
 BUCKET_DIGESTS = 4096
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -132,6 +132,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Documents with ids up to ``history_until`` (the middle of the ids if not given) are the history, the others arrive
     later; which is which doesn't change the result.
     """
+    lean(docs.sparkSession)
     digests = written(with_digests(docs, id_col, text_col), "digests")
     low, high, n = digests.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
     buckets = max(1, -(-n // BUCKET_DIGESTS))

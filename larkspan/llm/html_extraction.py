@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import written
+from larkspan.llm.common import lean, written
 
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*?"""
 _RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button"
@@ -189,6 +189,7 @@ def mates(keys: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: id, url, text (blocks joined by line feeds) and how the text was found (by: markup or difference)."""
+    lean(pages.sparkSession)
 
     def read(batches):
         for batch in batches:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import encoded, lower_hashes, pieces, slices, text_of, word_spans, written
+from larkspan.llm.common import encoded, lean, lower_hashes, pieces, slices, text_of, word_spans, written
 
 END_TOKEN = 2
 LENGTH = 4096
@@ -201,6 +201,7 @@ class Mixture:
 def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Written table of (id, source, part, first, n, ids): ids of 16 bits where they fit, else 32, with the end token;
     ``first`` counts the tokens of the same source before the row in its part."""
+    lean(docs.sparkSession)
 
     def run(batches):
         part, seen, encode = TaskContext.get().partitionId(), {}, encoder(tokenizer)

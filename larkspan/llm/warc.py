@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import new_path, written
+from larkspan.llm.common import lean, new_path, written
 
 ARCHIVE = "archive/data.warc.gz"
 INDEX = "indexes/index.tsv"
@@ -151,6 +151,7 @@ def _with_refers(pages: DataFrame, min_bytes: int) -> DataFrame:
 
 def write_packages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0, folder: str | None = None) -> DataFrame:
     """Write a record per row; returns the written table (package, records) of the packages."""
+    lean(pages.sparkSession)
     folder = folder or new_path(pages.sparkSession, "warc")
 
     def run(batches):
