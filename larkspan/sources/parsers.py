@@ -59,13 +59,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True)
 
 
 def read_clusters(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
-    """(line, sp, f, pos) of the members of clusters, one array a line; ``line`` as it stands, for its name.
+    """(line, at, sp, f, pos) of the members of clusters, one array a line; ``line`` as it stands, for its name, and ``at``
+    rising with it.
 
     ``skip`` leaves out clusters by their line's place in a single file, for resuming.
     """
     rows = spark.read.text(path, wholetext=False).select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"))
     rows = rows.where((F.trim("line") != "") & (F.col("at") >= skip))
-    return rows.select("line", F.posexplode(F.from_json("line", schemas.MEMBERS)).alias("pos", "m")).select("line", "m.sp", "m.f", "pos")
+    return rows.select("line", "at", F.posexplode(F.from_json("line", schemas.MEMBERS)).alias("pos", "m")).select("line", "at", "m.sp", "m.f", "pos")
 
 
 def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
