@@ -23,50 +23,60 @@ are one document; an empty table gives no rows; columns other than the id and th
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import encoded, forget, pieces, shingle_sets, text_bytes, text_of, written
+from larkspan.llm.common import encoded, lean, pieces, shingle_sets, slices, text_bytes, text_of, trim, written
 from larkspan.llm.components import connected_components
 
 WORDS = 5
 #: Similarity of 80 %: 100 * intersection >= 80 * union.
 PERCENT = 80
 #: Bytes of shingle hashes that one task takes at a time.
-PART_BYTES = 24 << 20
-BLOCK_BYTES = 48 << 20
+PART_BYTES = 12 << 20
+BLOCK_BYTES = 32 << 20
 PIVOTS = 16
 
-_PACKED = "p int, hashes binary, owners binary, ids binary, sizes binary"
+_PACKED = "p int, hashes binary, counts binary, ids binary, sizes binary"
+
+
+def _pack_ids(ids: np.ndarray) -> bytes:
+    """Ids as compressed differences: those of neighbouring rows are often close."""
+    return zlib.compress(np.diff(ids.astype("<i8"), prepend=np.int64(0)).tobytes(), 1)
+
+
+def _unpack_ids(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), "<i8"))
 
 
 def _scatter(parts: int, groups):
-    """Rows of ``_PACKED`` for (ids, sizes, hashes, owners) groups: each part's hashes with their owners' places in ids.
-    The first row of a group also has the sizes."""
+    """Rows of ``_PACKED`` for (ids, sizes, hashes, owners) groups, owners ascending: each part's hashes, and how many of
+    them each id has. One row of a group has the sizes instead."""
     for turn, (ids, sizes, hashes, owners) in enumerate(groups):
         part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
         order = np.argsort(part, kind="stable")
-        hashes, owners, part = hashes[order], owners[order].astype("<u4" if len(ids) > 1 << 16 else "<u2"), part[order]
-        at = np.searchsorted(part, np.arange(parts + 1))
-        rows = [(int(p), hashes[at[p] : at[p + 1]].tobytes(), owners[at[p] : at[p + 1]].tobytes(), ids.tobytes(), None) for p in range(parts) if at[p] < at[p + 1]]
-        rows.append(((turn * 7919 + int(ids[0])) % parts, b"", b"", ids.tobytes(), sizes.astype("<i8").tobytes()))
-        yield pa.RecordBatch.from_pydict(dict(zip(("p", "hashes", "owners", "ids", "sizes"), (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)), strict=True)))
+        hashes, owners, part = hashes[order], owners[order], part[order]
+        at, packed = np.searchsorted(part, np.arange(parts + 1)), _pack_ids(ids)
+        rows = [(int(p), hashes[at[p] : at[p + 1]].tobytes(), np.bincount(owners[at[p] : at[p + 1]], minlength=len(ids)).astype("<u4").tobytes(), packed, None) for p in range(parts) if at[p] < at[p + 1]]
+        rows.append(((turn * 7919 + int(ids[0])) % parts, b"", b"", packed, sizes.astype("<i8").tobytes()))
+        yield pa.RecordBatch.from_pydict(dict(zip(("p", "hashes", "counts", "ids", "sizes"), (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)), strict=True)))
 
 
 def _gather(rows: pd.DataFrame) -> pd.DataFrame:
     """(id, h, n): the hashes of a part that several owners have, with their number; and sizes, where h is null."""
     hashes, owners, sizes = [], [], []
     for r in rows.itertuples(index=False):
-        ids = np.frombuffer(r.ids, "<i8")
+        ids = _unpack_ids(r.ids)
         if r.sizes is not None:
             sizes.append((ids, np.frombuffer(r.sizes, "<i8")))
         else:
-            own = np.frombuffer(r.hashes, np.uint64)
-            hashes.append(own)
-            owners.append(ids[np.frombuffer(r.owners, "<u2" if 2 * len(own) == len(r.owners) else "<u4")])
+            hashes.append(np.frombuffer(r.hashes, np.uint64))
+            owners.append(np.repeat(ids, np.frombuffer(r.counts, "<u4")))
     h, o = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((hashes, np.uint64), (owners, np.int64)))
     order = np.argsort(h, kind="stable")
     h, o = h[order], o[order]
@@ -75,20 +85,24 @@ def _gather(rows: pd.DataFrame) -> pd.DataFrame:
     many = np.repeat(n > 1, n)
     out = [pd.DataFrame({"id": o[many], "h": pd.array(h[many].view(np.int64), "Int64"), "n": np.repeat(n, n)[many]})]
     out += [pd.DataFrame({"id": i, "h": pd.array([None] * len(i), "Int64"), "n": s}) for i, s in sizes]
-    return pd.concat(out)
+    made = pd.concat(out)
+    del h, o, hashes, owners, order
+    trim()
+    return made
 
 
-def _shared(packed: DataFrame, parts: int) -> DataFrame:
-    """Per id: size of the set (n), and its hashes that other sets have too (shared: array of (df, h))."""
+def _shared(packed: DataFrame, ranked: bool) -> DataFrame:
+    """Per id: size of the set (n), and its hashes that other sets have too (shared: array of h, or, if ``ranked``, of
+    (df, h))."""
     found = packed.groupBy("p").applyInPandas(_gather, "id long, h long, n long")
-    pair = F.when(F.col("h").isNotNull(), F.struct(F.col("n").alias("df"), "h"))
+    pair = F.when(F.col("h").isNotNull(), F.struct(F.col("n").alias("df"), "h")) if ranked else F.col("h")
     return found.groupBy("id").agg(F.max(F.when(F.col("h").isNull(), F.col("n"))).alias("n"), F.collect_set(pair).alias("shared"))
 
 
 def _from_texts(parts: int):
     def run(batches):
         def groups():
-            for batch in batches:
+            for batch in slices(batches):
                 ids, texts = batch.column("id").to_numpy(), encoded(batch.column("text").to_pylist())
                 for low, high in pieces(texts):
                     hashes, sizes = shingle_sets(texts[low:high], WORDS)
@@ -102,7 +116,7 @@ def _from_texts(parts: int):
 def _from_sets(parts: int):
     def run(batches):
         def groups():
-            for batch in batches:
+            for batch in slices(batches):
                 lists = batch.column("hs")
                 lengths = np.diff(lists.offsets.to_numpy())
                 hashes = lists.flatten().to_numpy().view(np.uint64)
@@ -215,20 +229,21 @@ def link_blocks(blocked: DataFrame, block_bytes: int = BLOCK_BYTES, pivots: int
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, pivots: int = PIVOTS, part_bytes: int = PART_BYTES) -> DataFrame:
     """Per document: its id, n_shingles, component_id (the smallest id that links reach)."""
+    lean(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     known = rows.where(F.col("id").isNotNull())
     parts = max(1, -(-2 * text_bytes(known) // part_bytes))
-    first = written(_shared(known.mapInArrow(_from_texts(parts), _PACKED), parts), "shared-shingles")
+    first = written(_shared(known.mapInArrow(_from_texts(parts), _PACKED), False), "shared-shingles")
     sizes = first.select("id", "n")
     # Sets that can have a neighbour; equal sets collapse.
-    suspects = first.where((F.col("n") > 0) & (100 * F.size("shared") >= PERCENT * F.col("n"))).select("id", "n", F.transform("shared", lambda s: s["h"]).alias("hs"))
+    suspects = first.where((F.col("n") > 0) & (100 * F.size("shared") >= PERCENT * F.col("n"))).select("id", "n", F.col("shared").alias("hs"))
     keyed = suspects.withColumn("whole", F.size("hs") == F.col("n")).withColumn("k1", F.when(F.col("whole"), F.xxhash64(F.sort_array("hs"))).otherwise(F.col("id"))).withColumn("k2", F.when(F.col("whole"), F.xxhash64(F.lit(1), F.sort_array("hs"))).otherwise(F.lit(0)))
     keys = ["n", "whole", "k1", "k2"]
     classes = written(keyed.groupBy(*keys).agg(F.min("id").alias("class")), "classes")
     members = written(keyed.select("id", *keys).join(classes, keys).select("id", "class"), "class-members")
     ahead = suspects.join(classes.select(F.col("class").alias("id")), "id", "left_semi")
     again = max(1, -(-16 * (classes.agg(F.sum("n")).first()[0] or 0) // part_bytes))
-    near = written(_shared(ahead.mapInArrow(_from_sets(again), _PACKED), again).where(100 * F.size("shared") >= PERCENT * F.col("n")), "near-sets")
+    near = written(_shared(ahead.mapInArrow(_from_sets(again), _PACKED), True).where(100 * F.size("shared") >= PERCENT * F.col("n")), "near-sets")
     # Blocks: prefixes, rarest shingles first; shingles that no other class has stand before them.
     room = F.col("n") - F.ceil(F.col("n") * PERCENT / 100.0 - 1e-9) + 1 - (F.col("n") - F.size("shared"))
     prefix = written(near.select("id", F.explode(F.slice(F.sort_array("shared"), F.lit(1), F.greatest(room, F.lit(1)).cast("int"))).alias("s")).select("id", F.col("s.h").alias("h")), "prefixes")
