@@ -49,3 +49,20 @@ def test_pipeline_stages(spark):
     packed = p.STAGES[-1][1](spark, kept, DIR)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == ids
     assert {r.doc_id for r in p.run(spark, DIR).select("doc_id").distinct().collect()} == ids
+
+
+def test_stages_on_odd_and_empty_tables(spark, docs):
+    import corpus_pipeline as p
+
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    odd = [(None, "a b c d e f", None, None, None), (1, None, "en", "s", 0), (2, "", None, "s", 0), (3, "", "en", None, 0), (4, "a b c d e f", "en", "s", 11), (4, "a b c d e f", "en", "s", 11)]
+    for rows in ([], odd):
+        kept = docs(rows, kind)
+        columns = kept.columns
+        for _, stage in p.STAGES[:-1]:
+            kept = stage(spark, kept, DIR)
+            assert kept.columns == columns
+        found = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
+        assert found == ([(False, 1), (False, 4), (False, 4), (True, 0)] if rows else [])
+        packed = p.STAGES[-1][1](spark, kept, DIR).collect()
+        assert len(packed) == len(found)
