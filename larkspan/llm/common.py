@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import os
-import tempfile
 import uuid
 
 import numpy as np
@@ -12,19 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspan.storage import shared_dir
+
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 WS = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one of our own only where none is named."""
-    own = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not own:
-        own = f"file://{os.path.join(tempfile.gettempdir(), 'larkspan-shared')}"
-        spark.conf.set("spark.checkpoint.dir", own)
-    return own
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/larkspan/{name}-{uuid.uuid4().hex}"
 
@@ -48,6 +39,11 @@ def forget(*frames: DataFrame) -> None:
         jvm.System.gc()
 
 
+def settle(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now."""
+    spark._jvm.System.gc()
+
+
 def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
@@ -57,10 +53,6 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(text_of(column)))).first()[0] or 0)
 
 
-def row_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
 # ---------------------------------------------------------------------------------------------------------------
 # Vectorised hashing of words in a batch of texts (numpy, no Python object for each word).
 
@@ -90,7 +82,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** n modulo 2 ** 64, kept between calls."""
     have = _POWERS.get(int(base))
     if have is None or len(have) <= n:
-        have = _POWERS[int(base)] = _powers(base, max(n, 1 << 20))
+        have = _POWERS[int(base)] = _powers(base, max(n, 1 << 19))
     return have
 
 
@@ -177,7 +169,7 @@ def encoded(values: list) -> list[bytes]:
 np.seterr(over="ignore")
 
 
-def pieces(texts: list[bytes], limit: int = 1 << 21):
+def pieces(texts: list[bytes], limit: int = 1 << 20):
     """(from, to) ranges of whole texts of about ``limit`` bytes, so that a batch needs bounded memory."""
     start, held = 0, 0
     for i, t in enumerate(texts):
@@ -207,7 +199,7 @@ def trim() -> None:
         pass
 
 
-def slices(batches, rows: int = 2048):
+def slices(batches, rows: int = 1024):
     """Arrow batches in slices of bounded numbers of rows; memory goes back at the end of a task."""
     try:
         for batch in batches:
