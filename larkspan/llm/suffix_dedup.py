@@ -35,7 +35,7 @@ from larkspan.llm.common import _INVERSE, encoded, forget, lean, mix, powers, pr
 
 WINDOW = 200
 PREFIX = 50
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 BATCHES = 4
 HOT_CONTEXTS = 20_000
 BUCKET_BYTES = 8 << 20
@@ -218,6 +218,7 @@ def repeated_ranges(docs: DataFrame, batches: int = BATCHES, hot_contexts: int =
 
     schema = "h50 long, n long, different long, s0 int, s1 int, id long, th long, context binary"
     known = written(docs.join(places, ["id", "th"]).select("id", "th", "text", "places").mapInArrow(cut, schema), "contexts")
+    forget(unsure)  # and, with it, the shuffle of the texts
     few = known.where(F.col("different") <= hot_contexts)
     size = few.agg(F.sum(F.octet_length("context"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
