@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import encoded, lean, pieces, shingle_sets, slices, text_bytes, text_of, trim, written
+from larkspan.llm.common import encoded, forget, lean, pieces, settle, shingle_sets, slices, text_bytes, text_of, trim, written
 from larkspan.llm.components import connected_components
 
 WORDS = 5
@@ -41,8 +41,13 @@ PERCENT = 80
 PART_BYTES = 12 << 20
 BLOCK_BYTES = 32 << 20
 PIVOTS = 16
+#: Slots of the rank of hashes: their table has at most so many rows, about 40 MB in Spark's hash table.
+SLOTS = 1 << 20
 
-_PACKED = "p int, hashes binary, counts binary, ids binary, sizes binary"
+_PACKED = "p int, kind int, hashes binary, counts binary, ids binary"
+#: Kinds of packed rows: hashes that one set of a group has, or several (then without owners); sizes of sets; hashes of
+#: several sets of a group, with their owners.
+_MET, _SIZES, _KNOWN = 0, 1, 2
 
 
 def _pack_ids(ids: np.ndarray) -> bytes:
@@ -55,48 +60,83 @@ def _unpack_ids(packed: bytes) -> np.ndarray:
 
 
 def _scatter(parts: int, groups):
-    """Rows of ``_PACKED`` for (ids, sizes, hashes, owners) groups, owners ascending: each part's hashes, and how many of
-    them each id has. One row of a group has the sizes instead."""
+    """Rows of ``_PACKED`` for (ids, sizes, hashes, owners) groups of sets.
+
+    Each distinct hash of a group goes once to the part of its leading bits. Owners of a hash that only one set has go
+    with it; a hash that several sets have is known to be shared already, so it goes without owners, and its owners go to
+    any part. However many sets share a hash, its part gets a row for each group at most.
+    """
     for turn, (ids, sizes, hashes, owners) in enumerate(groups):
-        part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        hashes, owners, part = hashes[order], owners[order], part[order]
-        at, packed = np.searchsorted(part, np.arange(parts + 1)), _pack_ids(ids)
-        rows = [(int(p), hashes[at[p] : at[p + 1]].tobytes(), np.bincount(owners[at[p] : at[p + 1]], minlength=len(ids)).astype("<u4").tobytes(), packed, None) for p in range(parts) if at[p] < at[p + 1]]
-        rows.append(((turn * 7919 + int(ids[0])) % parts, b"", b"", packed, sizes.astype("<i8").tobytes()))
-        yield pa.RecordBatch.from_pydict(dict(zip(("p", "hashes", "counts", "ids", "sizes"), (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)), strict=True)))
+        packed, rows, k = _pack_ids(ids), [], len(ids)
+        any_part = (turn * 7919 + int(ids[0])) % parts
+        order = np.argsort(hashes, kind="stable")
+        h, o = hashes[order], owners[order]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.empty(0, np.int64)
+        times = np.diff(np.append(first, len(h)))
+        several = np.repeat(times > 1, times)
+        if several.any():
+            by_owner = np.argsort(o[several], kind="stable")
+            rows.append((any_part, _KNOWN, h[several][by_owner].tobytes(), np.bincount(o[several], minlength=k).astype("<u4").tobytes(), packed))
+        u, w = h[first], np.where(times > 1, k, o[first])
+        part = ((u >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+        order = np.lexsort((w, part))
+        u, w, at = u[order], w[order], np.searchsorted(part, np.arange(parts + 1))
+        rows += [(int(p), _MET, u[at[p] : at[p + 1]].tobytes(), np.bincount(w[at[p] : at[p + 1]], minlength=k + 1).astype("<u4").tobytes(), packed) for p in range(parts) if at[p] < at[p + 1]]
+        rows.append((any_part, _SIZES, b"", sizes.astype("<u4").tobytes(), packed))
+        yield pa.RecordBatch.from_pydict(dict(zip(("p", "kind", "hashes", "counts", "ids"), (pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)), strict=True)))
 
 
 def _gather(rows: pd.DataFrame) -> pd.DataFrame:
-    """(id, h, n): the hashes of a part that several owners have, with their number; and sizes, where h is null."""
-    hashes, owners, sizes = [], [], []
+    """(id, h): the hashes of a part that other sets have too, by owner; and (id, null, size) of sets."""
+    hashes, owners, alone, out = [], [], [], []
     for r in rows.itertuples(index=False):
-        ids = _unpack_ids(r.ids)
-        if r.sizes is not None:
-            sizes.append((ids, np.frombuffer(r.sizes, "<i8")))
+        ids, counts, own = _unpack_ids(r.ids), np.frombuffer(r.counts, "<u4"), np.frombuffer(r.hashes, np.int64)
+        if r.kind == _SIZES:
+            out.append(pd.DataFrame({"id": ids, "h": pd.array([None] * len(ids), "Int64"), "n": counts.astype(np.int64)}))
+        elif r.kind == _KNOWN:
+            out.append(pd.DataFrame({"id": np.repeat(ids, counts), "h": pd.array(own, "Int64"), "n": 0}))
         else:
-            hashes.append(np.frombuffer(r.hashes, np.uint64))
-            owners.append(np.repeat(ids, np.frombuffer(r.counts, "<u4")))
-    h, o = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((hashes, np.uint64), (owners, np.int64)))
-    order = np.argsort(h, kind="stable")
-    h, o = h[order], o[order]
-    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.empty(0, np.int64)
-    n = np.diff(np.append(first, len(h)))
-    many = np.repeat(n > 1, n)
-    out = [pd.DataFrame({"id": o[many], "h": pd.array(h[many].view(np.int64), "Int64"), "n": np.repeat(n, n)[many]})]
-    out += [pd.DataFrame({"id": i, "h": pd.array([None] * len(i), "Int64"), "n": s}) for i, s in sizes]
+            hashes.append(own)
+            owners.append(np.repeat(np.append(ids, 0), counts))
+            alone.append(np.repeat(np.arange(len(counts)) < len(ids), counts))
+    if hashes:
+        h, o, single = np.concatenate(hashes), np.concatenate(owners), np.concatenate(alone)
+        order = np.argsort(h, kind="stable")
+        h, o, single = h[order], o[order], single[order]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        times = np.diff(np.append(first, len(h)))
+        shared = np.repeat((times > 1) | ~np.logical_and.reduceat(single, first), times) & single
+        out.append(pd.DataFrame({"id": o[shared], "h": pd.array(h[shared], "Int64"), "n": 0}))
+        del h, o, single, hashes, owners, alone, order
     made = pd.concat(out)
-    del h, o, hashes, owners, order
     trim()
     return made
 
 
-def _shared(packed: DataFrame, ranked: bool) -> DataFrame:
-    """Per id: size of the set (n), and its hashes that other sets have too (shared: array of h, or, if ``ranked``, of
-    (df, h))."""
-    found = packed.groupBy("p").applyInPandas(_gather, "id long, h long, n long")
-    pair = F.when(F.col("h").isNotNull(), F.struct(F.col("n").alias("df"), "h")) if ranked else F.col("h")
-    return found.groupBy("id").agg(F.max(F.when(F.col("h").isNull(), F.col("n"))).alias("n"), F.collect_set(pair).alias("shared"))
+def _shared(packed: DataFrame, name: str) -> DataFrame:
+    """Per id: size of the set (n), and its hashes that other sets have too (shared); written.
+
+    In two jobs, so that the shuffle of all hashes is gone before the shared ones move on.
+    """
+    found = written(packed.groupBy("p").applyInPandas(_gather, "id long, h long, n long"), "shared-rows")
+    settle(packed.sparkSession)
+    out = written(found.groupBy("id").agg(F.max(F.when(F.col("h").isNull(), F.col("n"))).alias("n"), F.collect_set("h").alias("shared")), name)
+    forget(found)
+    return out
+
+
+def _prefixes(near: DataFrame) -> DataFrame:
+    """(id, h): the first shared hashes of each set, rarest first, as many as a neighbour cannot avoid.
+
+    A hash counts as rare by the number of sets in its slot of a fixed number of slots, a rank that is the same for every
+    set; hashes that no other set has stand before all.
+    """
+    each = near.select("id", F.explode("shared").alias("h")).withColumn("slot", F.pmod("h", F.lit(SLOTS)))
+    ranks = written(each.groupBy("slot").agg(F.count(F.lit(1)).alias("sets")), "slots")
+    room = F.col("n") - F.ceil(F.col("n") * PERCENT / 100.0 - 1e-9) + 1 - (F.col("n") - F.size("shared"))
+    ranked = each.join(F.broadcast(ranks), "slot").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("sets", "h"))).alias("ranked"))
+    first = ranked.join(near.select("id", F.greatest(room, F.lit(1)).cast("int").alias("room")), "id")
+    return first.select("id", F.explode(F.slice("ranked", F.lit(1), F.col("room"))).alias("s")).select("id", F.col("s.h").alias("h"))
 
 
 def _from_texts(parts: int):
@@ -233,7 +273,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     known = rows.where(F.col("id").isNotNull())
     parts = max(1, -(-2 * text_bytes(known) // part_bytes))
-    first = written(_shared(known.mapInArrow(_from_texts(parts), _PACKED), False), "shared-shingles")
+    first = _shared(known.mapInArrow(_from_texts(parts), _PACKED), "shared-shingles")
     sizes = first.select("id", "n")
     # Sets that can have a neighbour; equal sets collapse.
     suspects = first.where((F.col("n") > 0) & (100 * F.size("shared") >= PERCENT * F.col("n"))).select("id", "n", F.col("shared").alias("hs"))
@@ -243,13 +283,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = written(keyed.select("id", *keys).join(classes, keys).select("id", "class"), "class-members")
     ahead = suspects.join(classes.select(F.col("class").alias("id")), "id", "left_semi")
     again = max(1, -(-16 * (classes.agg(F.sum("n")).first()[0] or 0) // part_bytes))
-    near = written(_shared(ahead.mapInArrow(_from_sets(again), _PACKED), True).where(100 * F.size("shared") >= PERCENT * F.col("n")), "near-sets")
+    near = _shared(ahead.mapInArrow(_from_sets(again), _PACKED), "near-sets").where(100 * F.size("shared") >= PERCENT * F.col("n"))
     # Blocks: prefixes, rarest shingles first; shingles that no other class has stand before them.
-    room = F.col("n") - F.ceil(F.col("n") * PERCENT / 100.0 - 1e-9) + 1 - (F.col("n") - F.size("shared"))
-    prefix = written(near.select("id", F.explode(F.slice(F.sort_array("shared"), F.lit(1), F.greatest(room, F.lit(1)).cast("int"))).alias("s")).select("id", F.col("s.h").alias("h")), "prefixes")
+    prefix = written(_prefixes(near), "prefixes")
     hubs = prefix.groupBy("h").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
     block = connected_components(prefix.join(hubs, "h").select(F.col("id").alias("src"), F.col("hub").alias("dst")))
-    blocked = near.select("id", "n", F.transform("shared", lambda s: s["h"]).alias("hs")).join(block, F.col("id") == F.col("node")).select(F.col("component").cast("string").alias("block"), "id", "n", "hs")
+    blocked = near.select("id", "n", F.col("shared").alias("hs")).join(block, F.col("id") == F.col("node")).select(F.col("component").cast("string").alias("block"), "id", "n", "hs")
     links = link_blocks(written(blocked, "blocks"), block_bytes, pivots)
     found = connected_components(links).withColumnRenamed("node", "class")
     named = sizes.join(members, "id", "left").join(found, "class", "left")
