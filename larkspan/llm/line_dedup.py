@@ -6,9 +6,11 @@ positions whose run is unique are discarded, since no longer run from them can r
 over all tasks, and their places in the order are the new ranks, so that positions ordered by rank are the suffix array
 to that depth. The longest-common-prefix intervals of depth ``min_lines`` are the positions of equal rank for that many
 lines (two overlapping runs where it is no power of two). Deeper intervals lie within these, so the union of their
-members' runs holds every maximal repeated run of at least ``min_lines`` lines, and doubling can end there. The run at the
-smallest (id, text hash, line) of an interval stays; what the others cover is deleted. Which lines go is judged on the
-input as given.
+members' runs holds every maximal repeated run of at least ``min_lines`` lines, and doubling can end there. Runs of fewer
+lines, from single lines on, count if they have at least ``min_words`` words; all their lengths are met on the way to
+``min_lines``, so every repeated run of so many lines or so many words is found. The run at the smallest (id, text hash,
+line) of an interval stays; what the others cover is deleted. Which lines go is judged on the input as given. Without
+``min_words`` only runs of ``min_lines`` lines count (the rule of OP1_SQL).
 
 Lines are compared without white space at their ends and with inner white space as one blank. Defined cases: a null
 text counts as empty, which is one empty line; rows that repeat an id and text are judged alike and are no copies of each
@@ -18,12 +20,15 @@ other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspan.llm.common import WS, text_of, written
 
 MIN_LINES = 3
+MIN_WORDS = 50
 #: Ranks are broadcast up to so many rows (about 80 MB in Spark's hash table); beyond, positions are shuffled to them.
 BROADCAST_RANKS = 1_000_000
 _PLACE = ("id", "th", "line")
@@ -38,12 +43,19 @@ def _ranked(positions: DataFrame, by: list[str]) -> DataFrame:
     again = positions.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     ranks = written(again.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("rank", F.monotonically_increasing_id()), "line-ranks")
     few = ranks.count() <= BROADCAST_RANKS
-    return positions.join(F.broadcast(ranks) if few else ranks, by).select(*_PLACE, "rank")
+    return positions.join(F.broadcast(ranks) if few else ranks, by).select(*_PLACE, "rank", *[c for c in ("before", "through", "words") if c in positions.columns])
 
 
-def _ahead(distance: int) -> Column:
+def _ahead(distance: int, what: str = "rank") -> Column:
     at = Window.partitionBy("id", "th").orderBy("line").rangeBetween(distance, distance)
-    return F.first("rank").over(at)
+    return F.first(what).over(at)
+
+
+def _summed(positions: DataFrame) -> DataFrame:
+    """Words before and through each position, over the positions given; a position that stands twice counts once."""
+    at = Window.partitionBy("id", "th").orderBy("line")
+    once = positions.withColumn("once", F.when(F.lag("line").over(at) == F.col("line"), F.lit(0)).otherwise(F.col("words")))
+    return once.withColumn("through", F.sum("once").over(at)).withColumn("before", F.col("through") - F.col("words")).drop("once", "words")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -51,31 +63,45 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return own.withColumn("id", F.coalesce("own", F.lit(-1 << 63))).withColumn("th", F.xxhash64("lines"))
 
 
-def suffix_ranks(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(id, th, line, a, b): for each position whose run of ``min_lines`` lines occurs again, the run's rank as a pair."""
+def suffix_ranks(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+    """(id, th, line, a, b, length): for each position whose run of ``min_lines`` lines occurs again, the run's rank as a
+    pair; with ``min_words`` also for the shorter runs of so many words."""
     lines = docs.select("id", "th", F.posexplode("lines").alias("line", "raw")).withColumn("key", line_key(F.col("raw")))
-    now = written(_ranked(lines.select(*_PLACE, F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2")), ["h1", "h2"]), "line-positions")
-    length = 1
+    words = [] if min_words is None else [F.when(F.col("key") == "", F.lit(0)).otherwise(F.size(F.split("key", " "))).cast("long").alias("words")]
+    now = written(_ranked(lines.select(*_PLACE, F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"), *words), ["h1", "h2"]), "line-positions")
+    if words:
+        now = _summed(now)
+    length, found = 1, []
+
+    def runs(n: int) -> DataFrame:
+        own = now.withColumn("b", _ahead(n - length) if n > length else F.col("rank"))
+        if n < min_lines:
+            own = own.withColumn("end", _ahead(n - length, "through") if n > length else F.col("through")).where(F.col("end") - F.col("before") >= min_words)
+        return own.where("b is not null").select(*_PLACE, F.col("rank").alias("a"), "b", F.lit(n).alias("length"))
+
     while 2 * length <= min_lines:
-        now = written(_ranked(now.withColumn("next", _ahead(length)).where("next is not null").withColumnRenamed("rank", "first"), ["first", "next"]), "line-positions")
+        found += [runs(n) for n in range(length, 2 * length)] if words else []
+        ahead = {"next": _ahead(length)} | ({"through": _ahead(length, "through")} if words else {})
+        now = written(_ranked(now.withColumns(ahead).where("next is not null").withColumnRenamed("rank", "first"), ["first", "next"]), "line-positions")
         length *= 2
-    return now.withColumn("b", _ahead(min_lines - length) if min_lines > length else F.col("rank")).where("b is not null").withColumnRenamed("rank", "a")
+    found += [runs(n) for n in range(length, min_lines)] if words else []
+    return reduce(DataFrame.unionAll, [*found, runs(min_lines)])
 
 
-def deleted_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def deleted_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """(id, th, deleted): the lines that later copies of a run cover, in each document that has any."""
-    runs = suffix_ranks(docs, min_lines)
+    runs = suffix_ranks(docs, min_lines, min_words)
     place = F.struct(*_PLACE)
-    first = runs.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = runs.join(first, ["a", "b"]).where(place > F.col("first"))
-    covered = later.select("id", "th", F.explode(F.sequence("line", F.col("line") + (min_lines - 1))).alias("line"))
+    first = runs.groupBy("length", "a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = runs.join(first, ["length", "a", "b"]).where(place > F.col("first"))
+    covered = later.select("id", "th", F.explode(F.sequence("line", F.col("line") + F.col("length") - 1)).alias("line"))
     return covered.groupBy("id", "th").agg(F.sort_array(F.collect_set("line")).alias("deleted"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_words: int | None = MIN_WORDS) -> DataFrame:
     """Per document: id, n_lines, n_removed, n_runs (maximal deleted runs), text (kept lines joined by line feeds)."""
     own = _keyed(docs, id_col, text_col)
-    met = own.join(deleted_lines(own, min_lines), ["id", "th"], "left")
+    met = own.join(deleted_lines(own, min_lines, min_words), ["id", "th"], "left")
     gone = F.coalesce("deleted", F.array().cast("array<int>"))
     runs = F.size(F.filter(gone, lambda x: ~F.array_contains(gone, x - 1)))
     kept = F.when(F.size(gone) == 0, F.array_join("lines", "\n")).otherwise(F.array_join(F.filter("lines", lambda _, i: ~F.array_contains(gone, i)), "\n"))

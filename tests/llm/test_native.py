@@ -40,6 +40,35 @@ def test_lines(docs, n):
     assert line_dedup.line_dedup(docs([]), min_lines=n).count() == 0
 
 
+def brute_words(rows, n, words):
+    """Every run of n lines or so many words: all places but the first go."""
+    lines = {i: [re.sub("[\x20\x09-\x0d]+", " ", x).strip(" ") for x in t.split("\n")] for i, t in rows}
+    first, gone = {}, defaultdict(set)
+    for i in sorted(lines):
+        for k in range(len(lines[i])):
+            for e in range(k + 1, len(lines[i]) + 1):
+                run = tuple(lines[i][k:e])
+                if (len(run) >= n or sum(len(x.split()) for x in run) >= words) and first.setdefault(run, (i, k)) != (i, k):
+                    gone[i] |= set(range(k, e))
+    return {i: sorted(gone[i]) for i in lines if gone[i]}
+
+
+@pytest.mark.parametrize("n, words", [(1, 5), (2, 4), (3, 4), (3, 6), (5, 7), (6, 9)])
+def test_runs_of_many_words(docs, n, words):
+    rng = random.Random(n * 100 + words)
+    pieces = ["a", "b  c", "d e f ", "g h i j k", "", "l m n o p q r"]
+    rows = [(i, "\n".join(rng.choice(pieces) + rng.choice(["", "", f" {i}"]) for _ in range(rng.randrange(1, 9)))) for i in range(40)]
+    own = line_dedup._keyed(docs([*rows, rows[0]]), "doc_id", "text")
+    assert {r.id: r.deleted for r in line_dedup.deleted_lines(own, n, words).collect()} == brute_words(rows, n, words)
+
+
+def test_repeated_passage_on_one_line(docs):
+    passage, half = (" ".join(f"{c}{k}" for k in range(m)) for c, m in (("w", 51), ("h", 49)))
+    rows = [(1, passage), (2, passage), (3, f"x\n{passage}\ny"), (4, half), (5, half), (6, f"{half}\nz\nq"), (7, f"{half}\nz\nr")]
+    got = {r.doc_id: (r.n_removed, r.text) for r in line_dedup.line_dedup(docs(rows)).collect()}
+    assert got == {1: (0, passage), 2: (1, ""), 3: (1, "x\ny"), 4: (0, half), 5: (0, half), 6: (0, rows[5][1]), 7: (2, "r")}
+
+
 def test_suffix_ranks_keep_the_order(docs):
     """Positions of one rank have equal runs, and ranks grow with the runs' ids."""
     own = line_dedup._keyed(docs([(1, "a\nb\nc\nx\na\nb\nc\ny"), (2, "q\na\nb\nc")]), "doc_id", "text")
