@@ -5,7 +5,7 @@ are (nav, footer, aside, form, scripts, adverts, comments by class or role, ...)
 ``main`` are the page's own words and stay: near copies of an article are common, so a line that another article shares
 is no sign of a template. All other pages are differenced: within a host, pages are ordered by path, a page's mate is
 the neighbour with the longer common prefix (the former one if equal), the two pages' blocks are aligned by a longest
-common subsequence, and the shared blocks are deleted.
+common subsequence, and the shared blocks are deleted. A template line inside ``article`` or ``main`` therefore stays.
 
 Neighbours are found on a range-partitioned table of keys, with each partition's first and last key known to all (two
 rows a partition), so a host of any size spreads over many tasks.
