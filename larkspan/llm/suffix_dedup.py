@@ -1,12 +1,13 @@
-r"""Removal of long repeated byte strings with a logarithmic family of sparse suffix arrays.
+r"""Removal of long repeated byte strings by grouping anchored fingerprints, in place of sorted suffix arrays.
 
 Suffixes start at content-defined anchors: the anchor of a 200-byte window is its leftmost smallest hashed 50-byte
 string, so equal windows have equal anchors, and each window belongs to exactly one. The windows of one anchor make up its
-context. A batch's suffix array lists its anchors' contexts in the order of their fingerprints (50-byte prefix, then the
-whole context), each distinct context once, with its number and one of its places. The family keeps such arrays in levels:
-a new batch is level 0; whenever two levels have equal size class, a merge scan unites them, adding the numbers of equal
-contexts, into one of the next level. So a batch is written log(batches) times, and after the last one a scan over the
-levels' prefixes tells which contexts match anything.
+context. Removal rests on which windows are equal, not on the order of suffixes, so nothing is ordered byte by byte and no
+levels are merge-scanned: a batch's table groups its anchors' contexts by their fingerprints (50-byte prefix and whole
+context), each distinct context once, with its number and one of its places. The family keeps such tables in levels: a
+new batch is level 0; whenever two levels have equal size class, they are united by grouping, which adds the numbers of
+equal contexts, into one of the next level. So a batch is written log(batches) times. Batches are not compared with the
+levels as they come; after the last one a grouping of all levels by prefix tells which contexts match anything.
 
 - A context found more than once: all its windows are repeated.
 - Contexts that share the 50-byte prefix but differ: their windows are hashed (one place of each distinct context) and
@@ -106,7 +107,7 @@ def find_anchors(docs: DataFrame) -> DataFrame:
 
 
 class IndexFamily:
-    """Levels of suffix arrays; ``levels[k]`` holds the contexts of ``2 ** k`` batches, or None."""
+    """Levels of grouped contexts; ``levels[k]`` holds the contexts of ``2 ** k`` batches, or None."""
 
     def __init__(self) -> None:
         self.levels: list[DataFrame | None] = []
