@@ -2,8 +2,8 @@ r"""Toxicity by class-conditional Kneser-Ney models.
 
 Each class has a Kneser-Ney model whose history is the class itself: an expression (a word, case folded) has
 ``max(count - D, 0) / tokens`` plus the class's discounted mass times a continuation probability that both classes
-share. The shared counts are the numbers of different words before an expression (linear counting in 256 bits, which
-merges over partitions), so that rare expressions lean on the same back-off in both models. Only well-founded
+share. The shared counts are the numbers of different words before an expression (exact but for their 64-bit hashes, from
+one row for each pair of words), so that rare expressions lean on the same back-off in both models. Only well-founded
 differences count: an expression has a ratio other than 1 if at least ``MIN_TEXTS`` different toxic training texts hold
 it and the toxic model gives it more than e ** ``MIN_RATIO`` times the ordinary model's probability; all others are left
 to the shared back-off in both classes. Without this bound the small differences of very many ordinary words drown the
@@ -58,12 +58,9 @@ def words_of(text: Column) -> Column:
 def expression_counts(labelled: DataFrame) -> DataFrame:
     """(word, toxic, ordinary, before): counts over (words, toxic) rows; ``before``: different words in front."""
     pairs = labelled.select("toxic", F.explode(F.arrays_zip(F.col("words").alias("word"), F.concat(F.array(F.lit("")), F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0)))).alias("front"))).alias("p"))
-    bit = F.pmod(F.xxhash64("p.front"), F.lit(256))
-    rows = pairs.select("toxic", F.col("p.word").alias("word"), bit.alias("bit"))
-    masks = [F.bit_or(F.when((F.col("bit") >= 64 * i) & (F.col("bit") < 64 * (i + 1)), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") - 64 * i).cast("int"))).otherwise(F.lit(0).cast("long"))).alias(f"m{i}") for i in range(4)]
-    used = sum((F.bit_count(f"m{i}") for i in range(1, 4)), F.bit_count("m0"))
-    counted = rows.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary"), *masks)
-    return counted.select("word", "toxic", "ordinary", (-256 * F.log(1 - F.least(used, F.lit(255)) / 256.0)).alias("before"))
+    rows = pairs.select("toxic", F.col("p.word").alias("word"), F.xxhash64("p.front").alias("front"))
+    each = rows.groupBy("word", "front").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary"))
+    return each.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.count(F.lit(1)).alias("before"))
 
 
 def toxic_texts(labelled: DataFrame) -> DataFrame:

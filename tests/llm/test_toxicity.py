@@ -63,6 +63,13 @@ def test_model_against_formula(spark):
     assert [round(r.ratio / m._SCALE, 5) for r in got] == [round(x, 5) for x in want.values() if x > m.MIN_RATIO]
 
 
+def test_words_before_are_counted_without_a_ceiling(spark):
+    rows = [(i % 2, " ".join(f"f{i * 100 + k} common" for k in range(100))) for i in range(30)] + [(0, "f0 common f0 common")]
+    frame = spark.createDataFrame(rows, "toxic long, text string").select("toxic", m.words_of(F.col("text")).alias("words"))
+    got = {r.word: (r.toxic, r.ordinary, r.before) for r in m.expression_counts(frame).where("word in ('common', 'f0', 'f7')").collect()}
+    assert got == {"common": (1500, 1502, 3000), "f0": (0, 3, 2), "f7": (0, 1, 1)}
+
+
 def test_both_ways_of_joining_agree(spark, docs):
     rows, labels = corpus(80)
     texts = docs(rows + [(900, None), (901, "")]).select(F.col("doc_id").alias("id"), m.text_of("text").alias("text"))
