@@ -235,7 +235,7 @@ def vectors(spark, sf_dir) -> DataFrame:
 
 
 def near_edges(spark, sf_dir) -> DataFrame:
-    return similarity.edges(similarity.knn(vectors(spark, sf_dir), k=50, least=0.3))
+    return similarity.edges(similarity.knn(vectors(spark, sf_dir), k=50, least=0.3, lists=1))  # exact at every size, as the SQL is
 
 
 @query

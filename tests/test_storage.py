@@ -163,6 +163,26 @@ def test_knn_by_lists_recalls_exact(spark):
     assert len(exact) == 300 * 9 and len(exact & lists) >= 0.9 * len(exact)
 
 
+def test_registered_edges_are_exact_at_every_size(spark, tmp_path, monkeypatch):
+    from larkspan.plans import queries
+
+    def refused(*_):
+        raise AssertionError("inverted lists")
+
+    monkeypatch.setattr(similarity, "EXACT_ROWS", 100)
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(similarity, "centroids", refused)
+    v = np.random.default_rng(3).standard_normal((300, 8)).astype(np.float32)
+    spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    x = v / np.linalg.norm(v, axis=1, keepdims=True)
+    sims = x.astype(np.float64) @ x.T.astype(np.float64)
+    want = set()
+    for i, s in enumerate(sims):
+        others = sorted((j for j in range(300) if j != i and s[j] >= 0.3), key=lambda j: -s[j])[:49]
+        want |= {(min(i, j), max(i, j)) for j in others}
+    assert {(r.src, r.dst) for r in queries.near_edges(spark, str(tmp_path)).collect()} == want
+
+
 def test_ordered_across_parts(spark):
     df = spark.range(1000, numPartitions=7).withColumn("v", F.floor(F.col("id") / 10))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
