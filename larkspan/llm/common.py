@@ -44,10 +44,33 @@ def settle(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+#: Keys that at least one row in so many has are hot: there are no more than so many of them.
+HOT_KEYS = 100_000
+
+
+def met_by_key(rows: DataFrame, by_key: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """Join (inner or left) of ``rows`` with ``by_key``, a row for each key with the number (``weight``) of ``rows`` that have it.
+
+    ``total``: the sum of the weights. Hot keys, those of one row in ``HOT_KEYS`` or more, are broadcast (``HOT_KEYS`` rows
+    at most) and their rows stay where they are; the others are shuffled, no key of them with more than a ``HOT_KEYS``-th of all rows.
+    """
+    is_hot = F.col(weight) * HOT_KEYS >= F.lit(total)
+    if total <= HOT_KEYS:  # all are
+        return rows.join(F.broadcast(by_key.drop(weight)), keys, how)
+    rest = rows.join(F.broadcast(by_key.where(is_hot).select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(by_key.where(is_hot).drop(weight)), keys).unionByName(rest.join(by_key.where(~is_hot).drop(weight), keys, how))
+
+
 def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def without_spans(lines: Column, lows: Column, highs: Column) -> Column:
+    """The array ``lines``, a column of its own, without its spans [low, high), ascending and apart; in linear time."""
+    low, high = F.concat(F.array(F.lit(0)), highs), F.concat(lows, F.array(F.size(lines)))
+    return F.flatten(F.transform(F.arrays_zip(low.alias("low"), high.alias("high")), lambda z: F.slice(lines, z["low"] + 1, z["high"] - z["low"])))
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Bytes of all texts: sizes the number of partitions, never which rows are used."""
     return int(df.agg(F.sum(F.octet_length(text_of(column)))).first()[0] or 0)
@@ -103,11 +126,35 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def range_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[start:end], independent of where the bytes stand."""
+    """64-bit hashes of data[start:end], independent of where the bytes stand; ranges may overlap.
+
+    A power series modulo 2 ** 64 cannot tell certain self-similar strings of 1024 bytes and more apart (a Thue-Morse word
+    and its complement), so it is for ranges well below that; ``span_hashes`` takes words of any length.
+    """
     inverse = powers(_INVERSE, len(prefix))
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
+def _weights(low: int, high: int) -> np.ndarray:
+    """Odd pseudo-random weights of the places low .. high - 1 in a word."""
+    return mix(np.arange(low + 1, high + 1, dtype=np.uint64) * _BASE) | np.uint64(1)
+
+
+_FIRST_WEIGHTS = _weights(0, 1 << 12)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:end] of spans that follow each other and are not empty: multilinear, each place of a span
+    with its own weight, so no structure of a long word cancels out."""
+    if not len(start):
+        return np.empty(0, np.uint64)
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    weight = _FIRST_WEIGHTS[place] if size.max() <= len(_FIRST_WEIGHTS) else _weights(0, int(size.max()))[place]
+    return mix(np.add.reduceat(_BYTE[data[place + np.repeat(start, size)]] * weight, first) + size.astype(np.uint64))
+
+
 def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the words of all texts, one after the other: the bytes they stand in, starts and ends; each text's words."""
     if not texts:
@@ -122,7 +169,7 @@ def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 def lower_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the lower-cased (A-Z) bytes of each range."""
-    return range_hashes(prefix_hashes(_LOWER[data]), start, end)
+    return span_hashes(_LOWER[data], start, end)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

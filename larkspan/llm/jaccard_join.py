@@ -11,14 +11,18 @@ comes in two parts, both exact.
    are one component, and a member ``x`` needs no comparison of its own if every set outside of the component is
    farther from the pivot than ``d(x, pivot) + 0.2``. Blocks beyond ``BLOCK_BYTES`` are first cut into the Voronoi
    regions of several pivots, over all executors: a set goes to its nearest pivot's region and, as a copy, to each
-   region whose pivot is at most ``0.4`` farther; regions join on their own, again cut if still too large. Each round
-   settles its pivots, so the recursion ends.
+   region whose pivot is at most ``0.4`` farther; regions join on their own, again cut if still too large. A block is cut
+   only if its regions shrink: each has at most half of its bytes, all together at most one and a half times as many. So
+   the recursion ends after log(bytes) rounds. Where sets lie at middle distances from all pivots, regions don't shrink;
+   such a block is joined in tiles instead: its sets, in order of size, fall into slots of bounded bytes, and each two
+   slots whose sizes allow a link meet in one task. That is exact, with work that grows with the square of that block.
 
-Only components leave a block, never pairs; links are verified on whole sets.
+Only components leave a block, never pairs; links are verified on whole sets of 64-bit shingle hashes.
 
 Defined cases: a null text counts as empty; texts without words have no shingles and no links; with fewer than
-``words`` words the whole sequence is the one shingle; rows without an id get a null component; rows that repeat an id
-are one document; an empty table gives no rows; columns other than the id and the text are not read.
+``words`` words the whole sequence is the one shingle; rows without an id get a null component; rows that repeat an id with
+other texts are documents of their own, each linked by its own text, and there is a row for each row; an empty table gives
+no rows; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -28,10 +32,10 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import encoded, forget, lean, pieces, settle, shingle_sets, slices, text_bytes, text_of, trim, written
+from larkspan.llm.common import encoded, forget, lean, met_by_key, pieces, settle, shingle_sets, slices, text_bytes, text_of, trim, written
 from larkspan.llm.components import connected_components
 
 WORDS = 5
@@ -43,6 +47,8 @@ BLOCK_BYTES = 32 << 20
 PIVOTS = 16
 #: Slots of the rank of hashes: their table has at most so many rows, about 40 MB in Spark's hash table.
 SLOTS = 1 << 20
+#: Tables of a few numbers for each large block are broadcast up to so many rows (about 100 MB), else shuffled.
+BROADCAST_ROWS = 1_000_000
 
 _PACKED = "p int, kind int, hashes binary, counts binary, ids binary"
 #: Kinds of packed rows: hashes that one set of a group has, or several (then without owners); sizes of sets; hashes of
@@ -221,45 +227,102 @@ def _to_pivots(_: tuple, docs: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFra
     return pd.DataFrame(out, columns=["block", "id", "n", "pivots", "d", "near"])
 
 
-def _cut(big: DataFrame, block_bytes: int, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """One round over blocks that are too large: star edges, and (block, id, n, hs) rows of the regions."""
+def _few(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def _tile_links(tile: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Star edges of the components that links between the two slots of a tile make."""
+    _, a, b = tile
+    rows = rows.sort_values("id")
+    ids, sizes, slot = rows["id"].to_numpy(np.int64), rows["n"].to_numpy(np.int64), rows["slot"].to_numpy()
+    sets = [np.asarray(h, np.int64) for h in rows["hs"]]
+    right = np.flatnonzero(slot == b)
+    keys = np.unique(np.concatenate([sets[i] for i in right])) if len(right) else np.empty(0, np.int64)
+    term = np.concatenate([np.searchsorted(keys, sets[i]) for i in right]) if len(right) else np.empty(0, np.int64)
+    posting = np.repeat(np.arange(len(right)), [len(sets[i]) for i in right])[np.argsort(term, kind="stable")]
+    start = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=len(keys)))))
+    label = np.arange(len(ids))
+    for x in np.flatnonzero(slot == a):
+        at = np.minimum(np.searchsorted(keys, sets[x]), max(0, len(keys) - 1))
+        at = at[keys[at] == sets[x]] if len(keys) else at[:0]
+        common = np.bincount(np.concatenate([posting[start[t] : start[t + 1]] for t in at]), minlength=len(right)) if len(at) else np.zeros(len(right), np.int64)
+        linked = np.unique(label[np.append(right[_near(sizes[x], sizes[right], common)], x)])
+        if len(linked) > 1:
+            label[np.isin(label, linked)] = linked[0]
+    moved = np.flatnonzero(label != np.arange(len(ids)))
+    return pd.DataFrame({"src": ids[moved], "dst": ids[label[moved]]})
+
+
+def _size_class(n: Column) -> Column:
+    """Steps of 9 %: at most some 160 for sets of up to a million shingles."""
+    return F.floor(8 * F.log2(n.cast("double"))).cast("int")
+
+
+def tile_links(big: DataFrame, slot_bytes: int) -> DataFrame:
+    """Edges of all links in each block, exactly: any two sets of sizes that allow a link meet in one tile."""
+    sized = big.withColumn("class", _size_class(F.col("n")))
+    classes = sized.groupBy("block", "class").agg(F.sum(8 * F.col("n")).alias("bytes"))
+    ahead = Window.partitionBy("block").orderBy("class").rowsBetween(Window.unboundedPreceding, -1)  # some 160 rows a block
+    classes = written(classes.withColumn("before", F.coalesce(F.sum("bytes").over(ahead), F.lit(0))), "size-classes")
+    spread = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
+    laid = written(sized.join(_few(classes), ["block", "class"]).withColumn("slot", F.floor((F.col("before") + spread * F.col("bytes")) / slot_bytes)).select("block", "id", "n", "hs", "slot"), "slots")
+    slots = written(laid.groupBy("block", "slot").agg(F.min("n").alias("least"), F.max("n").alias("most")), "slot-sizes")
+    a, b = (slots.select("block", *[F.col(c).alias(f"{c}_{side}") for c in ("slot", "least", "most")]) for side in "ab")
+    fits = (F.col("slot_a") <= F.col("slot_b")) & (100 * F.col("most_a") >= PERCENT * F.col("least_b")) & (100 * F.col("most_b") >= PERCENT * F.col("least_a"))
+    tiles = a.join(_few(b), "block").where(fits).select("block", F.col("slot_a").alias("a"), F.col("slot_b").alias("b"))
+    visits = tiles.select("block", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("slot"))
+    return laid.join(visits.hint("shuffle_hash"), ["block", "slot"]).groupBy("block", "a", "b").applyInPandas(_tile_links, "src long, dst long")
+
+
+def _cut(big: DataFrame, block_bytes: int, pivots: int) -> tuple[list[DataFrame], DataFrame]:
+    """One round over blocks that are too large: written edges, and (block, id, n, hs) rows of the regions."""
     reach = 1 - PERCENT / 100 + 1e-9
-    chosen = big.select("block", "id", F.row_number().over(_by_hash()).alias("turn")).where(F.col("turn") <= pivots).drop("turn")
-    sides = big.groupBy("block").agg(F.ceil(F.sum(8 * F.col("n")) * 4 / block_bytes).cast("int").alias("salts"))
-    pivot = chosen.join(big, ["block", "id"]).join(sides, "block").select(F.col("block").alias("at"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("side"), F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("hs").alias("pivot_hs"))
-    docs = big.join(F.broadcast(sides) if sides.count() < 10_000 else sides, "block").withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.col("salts")).cast("int"))
+    chosen = big.groupBy("block").agg(F.min_by("id", F.struct(F.xxhash64("id"), "id")).alias("first"), F.sum(8 * F.col("n")).alias("bytes"), F.count(F.lit(1)).alias("sets"))
+    chosen = written(chosen, "large-blocks")
+    # About four times as many candidates as pivots, by the hash of their ids; of these the first ones, and one for certain.
+    lot = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30) * F.col("sets") < 4 * pivots
+    some = big.select("block", "id").join(_few(chosen.select("block", "sets", "first")), "block").where(lot | (F.col("id") == F.col("first")))
+    picked = some.groupBy("block").agg(F.slice(F.sort_array(F.collect_list(F.struct(F.xxhash64("id").alias("h"), "id"))), 1, pivots).alias("picked")).select("block", F.explode("picked.id").alias("id"))
+    sides = chosen.select("block", F.ceil(F.col("bytes") * 4 / block_bytes).cast("int").alias("salts"))
+    pivot = picked.join(big, ["block", "id"]).join(sides, "block").select(F.col("block").alias("at"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("side"), F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("hs").alias("pivot_hs"))
+    docs = big.join(_few(sides), "block").withColumn("salt", F.pmod(F.xxhash64("id", F.lit(1)), F.col("salts")).cast("int"))
     far = written(
         docs.groupBy("block", "salt").cogroup(pivot.groupBy("at", "side")).applyInPandas(_to_pivots, "block string, id long, n long, pivots array<long>, d array<double>, near array<boolean>"), "pivot-distances"
     )
     each = far.select("block", "id", F.explode(F.arrays_zip("pivots", "d", "near")).alias("x")).select("block", "id", "x.*")
-    edges = each.where("near").select(F.col("id").alias("src"), F.col("pivots").alias("dst"))
-    outside = each.where("not near").groupBy("block", "pivots").agg(F.min("d").alias("outside"))
-    settled = each.join(outside, ["block", "pivots"], "left").where(F.col("near") & (F.col("outside").isNull() | (F.col("outside") > F.col("d") + reach)) | (F.col("id") == F.col("pivots"))).select("block", "id").distinct()
-    home = far.select("block", "id", F.array_min("d").alias("least"), F.explode(F.arrays_zip("pivots", "d")).alias("x")).where(F.col("x.d") <= F.col("least") + 2 * reach)
-    regions = home.join(settled, ["block", "id"], "left_anti").select("block", "id", F.concat_ws("/", "block", F.col("x.pivots").cast("string")).alias("region"))
-    return edges, regions.join(big, ["block", "id"]).select(F.col("region").alias("block"), "id", "n", "hs")
-
-
-def _by_hash():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("block").orderBy(F.xxhash64("id"), "id")
+    edges = written(each.where("near").select(F.col("id").alias("src"), F.col("pivots").alias("dst")), "links")
+    outside = written(each.where("not near").groupBy("block", "pivots").agg(F.min("d").alias("outside")), "outside")
+    settled = each.join(_few(outside), ["block", "pivots"], "left").where(F.col("near") & (F.col("outside").isNull() | (F.col("outside") > F.col("d") + reach)) | (F.col("id") == F.col("pivots"))).select("block", "id").distinct()
+    left = written(far.join(settled, ["block", "id"], "left_anti"), "unsettled")
+    home = left.select("block", "id", "n", F.array_min("d").alias("least"), F.explode(F.arrays_zip("pivots", "d")).alias("x")).where(F.col("x.d") <= F.col("least") + 2 * reach)
+    home = home.select("block", "id", "n", F.concat_ws("/", "block", F.col("x.pivots").cast("string")).alias("region"))
+    regions = home.groupBy("block", "region").agg(F.sum(8 * F.col("n")).alias("own")).groupBy("block").agg(F.sum("own").alias("copies"), F.max("own").alias("largest"))
+    shrinks = (2 * F.col("largest") <= F.col("bytes")) & (2 * F.col("copies") <= 3 * F.col("bytes"))
+    judged = written(regions.join(chosen, "block").select("block", shrinks.alias("shrinks")), "judged-blocks")
+    met = home.join(_few(judged.where("shrinks").select("block")), "block").join(big.select("block", "id", "hs"), ["block", "id"]).select(F.col("region").alias("block"), "id", "n", "hs")
+    links = [edges]
+    if not judged.where("not shrinks").isEmpty():
+        stuck = left.select("block", "id").join(_few(judged.where("not shrinks").select("block")), "block").join(big, ["block", "id"])
+        links.append(written(tile_links(stuck.select("block", "id", "n", "hs"), max(1, block_bytes // 4)), "links"))
+    return links, met
 
 
 def link_blocks(blocked: DataFrame, block_bytes: int = BLOCK_BYTES, pivots: int = PIVOTS) -> DataFrame:
-    """Edges (src, dst) whose components are those of the links in the blocks; ``blocked``: (block, id, n, hs)."""
+    """Edges (src, dst) whose components are those of the links in the blocks; ``blocked``: (block, id, n, hs), written."""
     edges = []
     while True:
-        sizes = written(blocked.groupBy("block").agg(F.sum(8 * F.col("n")).alias("bytes")), "block-sizes")
-        small = blocked.join(sizes.where(F.col("bytes") <= block_bytes), "block")
-        total = sizes.where(F.col("bytes") <= block_bytes).agg(F.sum("bytes")).first()[0] or 0
+        large = written(blocked.groupBy("block").agg(F.sum(8 * F.col("n")).alias("bytes")).where(F.col("bytes") > block_bytes).select("block"), "large-blocks")
+        none = large.isEmpty()
+        small = blocked if none else blocked.join(_few(large), "block", "left_anti")
+        total = small.agg(F.sum(8 * F.col("n"))).first()[0] or 0
         buckets = max(1, -(-4 * total // block_bytes))
         dealt = small.withColumn("bucket", F.pmod(F.xxhash64("block"), F.lit(buckets))).groupBy("bucket")
         edges.append(written(dealt.applyInPandas(_blocks_in_memory, "src long, dst long"), "links"))
-        if sizes.where(F.col("bytes") > block_bytes).isEmpty():
+        if none:
             break
-        stars, regions = _cut(blocked.join(sizes.where(F.col("bytes") > block_bytes).select("block"), "block"), block_bytes, pivots)
-        edges.append(written(stars, "links"))
+        stars, regions = _cut(blocked.join(_few(large), "block"), block_bytes, pivots)
+        edges += stars
         blocked = written(regions, "regions")
     out = edges[0]
     for e in edges[1:]:
@@ -267,11 +330,8 @@ def link_blocks(blocked: DataFrame, block_bytes: int = BLOCK_BYTES, pivots: int
     return out
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, pivots: int = PIVOTS, part_bytes: int = PART_BYTES) -> DataFrame:
-    """Per document: its id, n_shingles, component_id (the smallest id that links reach)."""
-    lean(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    known = rows.where(F.col("id").isNotNull())
+def _components(known: DataFrame, block_bytes: int, pivots: int, part_bytes: int) -> DataFrame:
+    """(id, n, component) of (id, text) rows; rows that repeat an id have equal texts."""
     parts = max(1, -(-2 * text_bytes(known) // part_bytes))
     first = _shared(known.mapInArrow(_from_texts(parts), _PACKED), "shared-shingles")
     sizes = first.select("id", "n")
@@ -279,20 +339,44 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     suspects = first.where((F.col("n") > 0) & (100 * F.size("shared") >= PERCENT * F.col("n"))).select("id", "n", F.col("shared").alias("hs"))
     keyed = suspects.withColumn("whole", F.size("hs") == F.col("n")).withColumn("k1", F.when(F.col("whole"), F.xxhash64(F.sort_array("hs"))).otherwise(F.col("id"))).withColumn("k2", F.when(F.col("whole"), F.xxhash64(F.lit(1), F.sort_array("hs"))).otherwise(F.lit(0)))
     keys = ["n", "whole", "k1", "k2"]
-    classes = written(keyed.groupBy(*keys).agg(F.min("id").alias("class")), "classes")
-    members = written(keyed.select("id", *keys).join(classes, keys).select("id", "class"), "class-members")
+    classes = written(keyed.groupBy(*keys).agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("copies")), "classes")
+    n_suspects, held = classes.agg(F.sum("copies"), F.sum("n")).first()
+    members = written(met_by_key(keyed.select("id", *keys), classes, keys, "copies", n_suspects or 0).select("id", "class"), "class-members")
     ahead = suspects.join(classes.select(F.col("class").alias("id")), "id", "left_semi")
-    again = max(1, -(-16 * (classes.agg(F.sum("n")).first()[0] or 0) // part_bytes))
+    again = max(1, -(-16 * (held or 0) // part_bytes))
     near = _shared(ahead.mapInArrow(_from_sets(again), _PACKED), "near-sets").where(100 * F.size("shared") >= PERCENT * F.col("n"))
     # Blocks: prefixes, rarest shingles first; shingles that no other class has stand before them.
     prefix = written(_prefixes(near), "prefixes")
-    hubs = prefix.groupBy("h").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
-    block = connected_components(prefix.join(hubs, "h").select(F.col("id").alias("src"), F.col("hub").alias("dst")))
+    hubs = written(prefix.groupBy("h").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("sets")).where(F.col("sets") > 1), "hubs")
+    n_met = hubs.agg(F.sum("sets")).first()[0] or 0
+    block = connected_components(met_by_key(prefix, hubs, ["h"], "sets", n_met).select(F.col("id").alias("src"), F.col("hub").alias("dst")))
     blocked = near.select("id", "n", F.col("shared").alias("hs")).join(block, F.col("id") == F.col("node")).select(F.col("component").cast("string").alias("block"), "id", "n", "hs")
     links = link_blocks(written(blocked, "blocks"), block_bytes, pivots)
     found = connected_components(links).withColumnRenamed("node", "class")
-    named = sizes.join(members, "id", "left").join(found, "class", "left")
-    out = named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "class", "id").alias("component_id"))
+    of_class = written(classes.select("class", "copies").join(found, "class", "left").select("class", "copies", F.coalesce("component", "class").alias("component")), "class-components")
+    named = met_by_key(members, of_class, ["class"], "copies", n_suspects or 0).select("id", "component")
+    return sizes.join(named, "id", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+
+
+def _components_of_texts(known: DataFrame, **settings) -> DataFrame:
+    """(id, n, component), a row for each row, where ids may repeat with different texts: each (id, text) gets a key."""
+    rows = known.withColumn("text_key", F.xxhash64("text"))
+    keys = written(rows.select("id", "text_key").distinct().withColumn("key", F.monotonically_increasing_id()), "document-keys")
+    found = written(_components(rows.join(keys, ["id", "text_key"]).select(F.col("key").alias("id"), "text"), **settings).withColumnRenamed("id", "key").withColumnRenamed("component", "group"), "document-groups")
+    least = written(found.join(keys, "key").groupBy("group").agg(F.min("id").alias("component"), F.count(F.lit(1)).alias("members")), "group-ids")
+    named = met_by_key(found, least, ["group"], "members", found.count()).select("key", "n", "component")
+    return rows.select("id", "text_key").join(keys, ["id", "text_key"]).join(named, "key").select("id", "n", "component")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, pivots: int = PIVOTS, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Per document: its id, n_shingles, component_id (the smallest id that links reach)."""
+    lean(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    known = rows.where(F.col("id").isNotNull())
+    settings = {"block_bytes": block_bytes, "pivots": pivots, "part_bytes": part_bytes}
+    once = known.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1).isEmpty()
+    found = _components(known, **settings) if once else _components_of_texts(known, **settings)
+    out = found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
     @F.pandas_udf("long")
     def set_size(text: pd.Series) -> pd.Series:

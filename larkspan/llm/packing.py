@@ -8,11 +8,14 @@ been served) stays within one token and is carried into the next one, whichever
 queue leaves its share to the others. So no task waits for another: each piece's place follows from its token numbers,
 the sources' totals (one number per source) and the target weights.
 
+A queue is a source. A table of more than ``MAX_QUEUES`` sources has that many queues, each of the sources of one hash, so
+that what the driver and the tasks hold of them is bounded; sources named in the targets keep queues of their own.
+
 Within a window the sources' runs lie end to end, so texts are cut only at a window's or a sequence's end. All sequences
 are full except the last, which alone is padded: to ``length``, unless its length is a power of two.
 
 Defined cases: a null text counts as empty and gives the end token alone; a null source is the source ''; repeated ids
-are separate documents; an empty table gives no rows; other columns are not read.
+are separate documents, and so are rows without an id, which they keep; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ LENGTH = 4096
 WINDOW_SEQUENCES = 64
 #: Distinct words whose ids a worker remembers.
 MEMO_WORDS = 1_000_000
+MAX_QUEUES = 4096
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -65,7 +69,7 @@ class Encoder:
 
     The tokenizer drops white space, folds case and encodes each pre-token on its own, and no pre-token holds white
     space; so a text's ids are those of its words between white space, end to end. Texts with a special token's mark
-    take the tokenizer's own way. Words are known by 64-bit hashes of their bytes, in sorted arrays of about 20 bytes a
+    take the tokenizer's own way. Words are known by 64-bit multilinear hashes of their bytes, in sorted arrays of about 20 bytes a
     word.
     """
 
@@ -168,7 +172,7 @@ class Mixture:
 
     def at(self, window: int) -> np.ndarray:
         if window not in self.known:
-            if len(self.known) > 20_000:
+            if len(self.known) > max(256, (1 << 22) // len(self.totals)):
                 self.known.clear()
             block = np.arange(max(0, window - 32), window + 96)
             self.known.update(zip(block.tolist(), self.served(block), strict=True))
@@ -224,7 +228,7 @@ def tokenised(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
 _PIECES = "id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int = LENGTH, window_sequences: int = WINDOW_SEQUENCES, with_ids: bool = True) -> DataFrame:
+def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int = LENGTH, window_sequences: int = WINDOW_SEQUENCES, with_ids: bool = True, max_queues: int = MAX_QUEUES) -> DataFrame:
     """Pieces of ``tokenised`` documents: id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset, and,
     if ``with_ids``, ids (32 bits each).
 
@@ -232,9 +236,14 @@ def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int
     """
     spark, schema = tokens.sparkSession, _PIECES + ", ids binary" * with_ids
     parts = written(tokens.groupBy("source", "part").agg(F.sum("n").alias("part_n")), "token-parts")
-    base = F.coalesce(F.sum("part_n").over(Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = parts.withColumn("base", base)
-    totals = sorted((r["source"], r["n"]) for r in parts.groupBy("source").agg(F.sum("part_n").alias("n")).collect())  # a row per source
+    queue = F.col("source")
+    if parts.select("source").distinct().count() > max_queues:
+        queue = F.when(F.col("source").isin(list(targets or ())), F.concat(F.lit("="), "source")).otherwise(F.concat(F.lit("#"), F.pmod(F.xxhash64("source"), F.lit(max_queues)).cast("string")))
+        targets = {f"={s}": w for s, w in targets.items()} if targets is not None else None
+    order = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("queue", queue)
+    totals = sorted((r["queue"], r["n"]) for r in parts.groupBy("queue").agg(F.sum("part_n").alias("n")).collect())  # at most max_queues and those of targets
+    parts = parts.withColumn("base", F.coalesce(F.sum("part_n").over(order), F.lit(0)))
     if not totals:
         return spark.createDataFrame([], schema)
     names = {s: i for i, (s, _) in enumerate(totals)}
@@ -250,12 +259,12 @@ def pack(tokens: DataFrame, targets: dict[str, float] | None = None, length: int
             out = []
             for r in batch.itertuples(index=False):
                 ids = np.frombuffer(r.ids, "<u2" if len(r.ids) < 4 * r.n else "<u4").astype("<u4")
-                for start, size, sequence, offset in mixture.pieces(names[r.source], r.base + r.first, r.n, length):
+                for start, size, sequence, offset in mixture.pieces(names[r.queue], r.base + r.first, r.n, length):
                     own = ids[start : start + size].tobytes()
                     out.append((r.id, r.source, start, size, zlib.crc32(own), r.n, sequence, offset) + (own,) * with_ids)
             yield pd.DataFrame(out, columns=columns)
 
-    placed = tokens.join(parts.select("source", "part", "base"), ["source", "part"]).select("id", "source", "base", "first", "n", "ids")
+    placed = tokens.join(parts.select("source", "part", "queue", "base"), ["source", "part"]).select("id", "source", "queue", "base", "first", "n", "ids")
     return placed.mapInPandas(run, schema)
 
 

@@ -18,8 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By the rule of OP1_SQL: runs of three lines; the operator itself also finds shorter runs of many words."""
-    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"), min_words=None)
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return found.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
 
 
@@ -85,9 +84,12 @@ FROM m
 OP1_SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
      k AS (SELECT doc_id, i, raw, trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g')) AS key FROM l),
-     w AS (SELECT doc_id, i, key AS k1, lead(key, 1) OVER d AS k2, lead(key, 2) OVER d AS k3 FROM k WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-     r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k1, k2, k3 ORDER BY doc_id, i) AS turn FROM w WHERE k3 IS NOT NULL),
-     gone AS (SELECT DISTINCT doc_id, i + s AS i FROM r, (SELECT unnest(range(3)) AS s) WHERE turn > 1),
+     w AS (SELECT doc_id, i, n, key AS k1, lead(key, 1) OVER d AS k2, lead(key, 2) OVER d AS k3, n + lead(n, 1) OVER d AS n2
+           FROM (SELECT *, CASE WHEN key = '' THEN 0 ELSE len(string_split(key, ' ')) END AS n FROM k) WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+     r AS (SELECT doc_id, i, 3 AS length, row_number() OVER (PARTITION BY k1, k2, k3 ORDER BY doc_id, i) AS turn FROM w WHERE k3 IS NOT NULL
+           UNION ALL SELECT doc_id, i, 2, row_number() OVER (PARTITION BY k1, k2 ORDER BY doc_id, i) FROM w WHERE n2 >= 50
+           UNION ALL SELECT doc_id, i, 1, row_number() OVER (PARTITION BY k1 ORDER BY doc_id, i) FROM w WHERE n >= 50),
+     gone AS (SELECT DISTINCT doc_id, i + unnest(range(length)) AS i FROM r WHERE turn > 1),
      m AS (SELECT k.doc_id, k.i, k.raw, gone.i IS NOT NULL AS off, lag(gone.i IS NOT NULL, 1, false) OVER (PARTITION BY k.doc_id ORDER BY k.i) AS before
            FROM k LEFT JOIN gone ON k.doc_id = gone.doc_id AND k.i = gone.i)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (off) AS n_removed, count(*) FILTER (off AND NOT before) AS n_runs,

@@ -64,6 +64,56 @@ def test_empty_and_null_ids(docs):
     assert got == {(None, 2, None), (4, 2, 4), (None, 0, None)}
 
 
+def test_rows_that_repeat_ids(docs):
+    """Each text of an id has its own links, and there is a row for each row."""
+    rows = [(1, "a b c d e f"), (1, "g h i j k l m"), (2, "a b c d e f"), (3, "g h i j k l m"), (3, "g h i j k l m"), (4, None), (4, "x")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in m.jaccard_components(docs(rows)).collect())
+    assert got == [(1, 2, 1), (1, 3, 1), (2, 2, 1), (3, 3, 1), (3, 3, 1), (4, 0, 4), (4, 1, 4)]
+
+
+def test_long_structured_words_do_not_link(docs):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word)]
+    assert sorted((r.doc_id, r.component_id) for r in m.jaccard_components(docs(rows)).collect()) == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_families_at_middle_distance_end(docs):
+    """Sets of 10 of 20 passages: no region shrinks, so the block is joined in tiles, exactly."""
+    rng = random.Random(7)
+    passages = [" ".join(f"p{k}w{j}" for j in range(20)) for k in range(20)]
+    rows = [(i, " ".join(passages[k] for k in rng.sample(range(20), 10))) for i in range(200)]
+    rows += [(i, " ".join([passages[k] for k in rng.sample(range(20), 2)] + [passages[0]] * 20)) for i in range(200, 215)]
+    rows += [(300 + i, rows[i][1] + f" tail{i} of words") for i in range(0, 60, 3)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in m.jaccard_components(docs(rows), block_bytes=40_000).collect())
+    assert got == brute(rows)
+
+
+def test_tiles_find_every_link(spark):
+    rng = random.Random(8)
+    sets = {}
+    for i in range(150):
+        own = rng.sample(range(60), rng.randrange(10, 60))
+        sets[i] = own
+    frame = spark.createDataFrame([("x" if i % 2 else "y", i, len(s), s) for i, s in sets.items()], "block string, id long, n long, hs array<long>")
+    edges = {(r.src, r.dst) for r in m.tile_links(frame, 1500).collect()}
+    top = {i: i for i in sets}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    def joined(pairs):
+        top.update({i: i for i in sets})
+        for a, b in pairs:
+            x, y = find(a), find(b)
+            top[max(x, y)] = min(x, y)
+        return [find(i) for i in sets]
+
+    links = [(a, b) for a in sets for b in sets if a < b and (b - a) % 2 == 0 and m._near(len(sets[a]), len(sets[b]), len({*sets[a]} & {*sets[b]}))]
+    assert links and joined(edges) == joined(links)
+
+
 def test_chain_in_block():
     """Neighbours link, ends don't: the triangle inequality must not cut the chain."""
     sets = [np.arange(k, k + 50, dtype=np.int64) for k in range(0, 60, 4)]

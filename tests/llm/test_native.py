@@ -35,7 +35,7 @@ def test_lines(docs, n):
     rng = random.Random(n)
     rows = [(i, "\n".join(rng.choice(["a", "b ", " c", "d  d", "d d", ""]) for _ in range(rng.randrange(0, 9)))) for i in range(60)]
     rows += [(100, None), (101, ""), (102, "a\n" * 500), rows[0], (103, "x" * 200_000 + "\na\nb\nc\nd")]
-    got = line_dedup.line_dedup(docs(rows), min_lines=n)
+    got = line_dedup.line_dedup(docs(rows), min_lines=n, min_words=None)
     assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.n_runs, r.text) for r in got.collect()), key=repr) == brute(rows, n)
     assert line_dedup.line_dedup(docs([]), min_lines=n).count() == 0
 
@@ -59,7 +59,8 @@ def test_runs_of_many_words(docs, n, words):
     pieces = ["a", "b  c", "d e f ", "g h i j k", "", "l m n o p q r"]
     rows = [(i, "\n".join(rng.choice(pieces) + rng.choice(["", "", f" {i}"]) for _ in range(rng.randrange(1, 9)))) for i in range(40)]
     own = line_dedup._keyed(docs([*rows, rows[0]]), "doc_id", "text")
-    assert {r.id: r.deleted for r in line_dedup.deleted_lines(own, n, words).collect()} == brute_words(rows, n, words)
+    got = {r.id: [k for a, b in zip(r.lows, r.highs, strict=True) for k in range(a, b)] for r in line_dedup.deleted_spans(own, n, words).collect()}
+    assert got == brute_words(rows, n, words)
 
 
 def test_repeated_passage_on_one_line(docs):
@@ -69,13 +70,33 @@ def test_repeated_passage_on_one_line(docs):
     assert got == {1: (0, passage), 2: (1, ""), 3: (1, "x\ny"), 4: (0, half), 5: (0, half), 6: (0, rows[5][1]), 7: (2, "r")}
 
 
-def test_suffix_ranks_keep_the_order(docs):
-    """Positions of one rank have equal runs, and ranks grow with the runs' ids."""
-    own = line_dedup._keyed(docs([(1, "a\nb\nc\nx\na\nb\nc\ny"), (2, "q\na\nb\nc")]), "doc_id", "text")
-    ranks = defaultdict(set)
-    for r in line_dedup.suffix_ranks(own, 3).collect():
-        ranks[r.a, r.b].add((r.id, r.line))
-    assert {frozenset(v) for v in ranks.values() if len(v) > 1} == {frozenset({(1, 0), (1, 4), (2, 1)})}
+def test_ranks_keep_the_order_of_runs(docs):
+    """Ranks of pairs order positions as the sorted runs do, so that they make up a suffix array to that depth."""
+    rng = random.Random(9)
+    rows = [(i, "\n".join(rng.choice("abcd") for _ in range(12))) for i in range(20)]
+    own = line_dedup._keyed(docs(rows), "doc_id", "text")
+    lines = own.select("id", "th", F.posexplode("lines").alias("line", "key"))
+    first = line_dedup.written(line_dedup._ranked(line_dedup.written(lines, "t"), ["key"]).withColumnRenamed("rank", "a").drop("later"), "t")
+    pairs = line_dedup.written(first.withColumn("b", line_dedup._ahead(1, "a")).where("b is not null"), "t")
+    texts = {i: t.split("\n") for i, t in rows}
+    at = defaultdict(list)
+    for r in line_dedup._ranked(pairs, ["a", "b"]).collect():
+        at[r.rank].append((tuple(texts[r.id][r.line : r.line + 2]), (r.id, r.line), r.later))
+    runs = [at[k] for k in sorted(at)]
+    assert [x[0][0] for x in runs] == sorted({x[0][0] for x in runs}) and all(len({run for run, _, _ in x}) == 1 for x in runs)
+    assert all(later == (place > min(p for _, p, _ in x)) for x in runs for _, place, later in x)
+
+
+def test_long_and_hot_runs(docs):
+    """Long copies double many times; a text of very many deleted lines takes linear time; runs end at the deepest depth."""
+    long = "\n".join(f"line {k}" for k in range(3000))
+    rows = [(1, long), (2, "head\n" + long), (3, long + "\ntail"), (4, "\n" * 50_000), (5, None)]
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_runs, r.text) for r in line_dedup.line_dedup(docs(rows)).collect()}
+    assert got[1] == (3000, 0, 0, long) and got[2] == (3001, 3000, 1, "head") and got[3] == (3001, 3000, 1, "tail")
+    assert got[4] == (50_001, 50_000, 1, "") and got[5] == (1, 0, 0, "")
+    own = line_dedup._keyed(docs(rows[:2]), "doc_id", "text")
+    runs = [(r.line, r.length) for r in line_dedup.later_runs(own).collect()]
+    assert max(n for _, n in runs) == 2048 and len(runs) <= 3000
 
 
 def feistel(value, a, b, key, tweak, rounds=pii.ROUNDS):

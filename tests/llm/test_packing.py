@@ -61,3 +61,19 @@ def test_windows_keep_proportions(docs):
 def test_empty(docs):
     assert m.pack(m.tokenised(docs([], "doc_id long, text string, source string"), PATH)).count() == 0
     assert m.padded_length(512) == 512 and m.padded_length(513) == 4096
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_many_sources_share_queues_and_long_structured_words(docs):
+    """Words that cancel out in a power series modulo 2 ** 64 keep their own ids; rows without an id stay."""
+    word = thue_morse(1024)
+    texts = [word, word.translate(str.maketrans("ab", "ba")), thue_morse(4096), *[f"text {i} " * (i % 9) for i in range(40)]]
+    rows = [(i, t, f"host{i % 11}") for i, t in enumerate(texts)]
+    tokens = m.tokenised(docs(rows, "doc_id long, text string, source string"), PATH)
+    for targets in (None, {"host1": 0.5, "host2": 0.5}):
+        checked(m.pack(tokens, targets, 64, 2, max_queues=3), texts, 64, True)
+    odd = m.pack(m.tokenised(docs([(None, "a b", "s"), (None, None, None)], "doc_id long, text string, source string"), PATH)).collect()
+    assert [r.id for r in odd] == [None, None] and sum(r.length for r in odd) == 4
