@@ -9,12 +9,25 @@ from larkspan.functions.scalars import middle
 from larkspan.operators.folds import Fold, fold
 
 
+#: Cells of this many median lengths.
+CELL_LENGTHS = 8.0
+MOST_CELLS = 10_000
+
+
+def _cell(left: DataFrame, right: DataFrame) -> float | None:
+    lengths = left.select((F.col("end") - F.col("start")).alias("l")).union(right.select((F.col("end") - F.col("start")).alias("l")))
+    median, longest = lengths.where("l > 0").agg(F.percentile_approx("l", 0.5), F.max("l")).first()
+    return None if not median else max(median * CELL_LENGTHS, longest / MOST_CELLS)
+
+
 def overlaps(left: DataFrame, right: DataFrame, keys: list[str], cell: float | None = None) -> DataFrame:
     """All overlapping pairs of ``left`` and ``right`` (start, end) with equal ``keys``, cut to their overlap.
 
-    Right columns other than the keys come as r_<name>. With ``cell`` both sides are dealt to cells of that many
-    seconds, and a pair is made only in the first cell that both touch: a key with very many intervals spreads out.
+    Right columns other than the keys come as r_<name>. Both sides are dealt to cells of ``cell`` seconds, and a pair is made
+    only in the first cell that both touch: a key with very many intervals spreads out. By default a cell is some median
+    lengths wide, and the longest interval lies in ``MOST_CELLS`` of them at most.
     """
+    cell = cell or _cell(left, right)
     renamed = right.select(*keys, *[F.col(c).alias(f"r_{c}") for c in right.columns if c not in keys])
     if cell is None:
         pairs = left.join(renamed, keys)

@@ -19,15 +19,17 @@ def positive_totals(rows: DataFrame, value: str) -> DataFrame:
 
 
 def top_sums(rows: DataFrame, key: str, value: str, n: int) -> DataFrame:
-    return rows.groupBy(key).agg(F.sum(value).alias("total")).orderBy(F.desc("total"), key).limit(n)
+    """The ``n`` keys with the greatest sums of positive values; equal sums by key."""
+    return rows.where(F.col(value) > 0).groupBy(key).agg(F.sum(value).alias("total")).orderBy(F.desc("total"), key).limit(n)
 
 
 def cap_sweep(rows: DataFrame, value: Column, caps: tuple[float, ...], unit: float = 3600.0) -> DataFrame:
-    """For each cap: the capped sum, how many values are over it, and what the cap cuts off; one pass over the rows."""
+    """For each cap, over the positive values: the capped sum, how many are over it, what the cap cuts off, and how many there
+    are; one pass over the rows."""
     v, cap = F.col("v"), lambda h: F.lit(float(h) * unit)
-    own = rows.select(value.cast("double").alias("v"))
-    one = own.agg(*[x for i, h in enumerate(caps) for x in (F.sum(F.least(v, cap(h))).alias(f"c{i}"), F.count_if(v > cap(h)).alias(f"o{i}"))], F.sum("v").alias("all"))
-    packed = F.array(*[F.struct(F.lit(float(h)).alias("cap"), F.col(f"c{i}").alias("capped"), F.col(f"o{i}").alias("over"), (F.col("all") - F.col(f"c{i}")).alias("trimmed")) for i, h in enumerate(caps)])
+    own = rows.select(value.cast("double").alias("v")).where("v > 0")
+    one = own.agg(*[x for i, h in enumerate(caps) for x in (F.sum(F.least(v, cap(h))).alias(f"c{i}"), F.count_if(v > cap(h)).alias(f"o{i}"))], F.sum("v").alias("all"), F.count("v").alias("n"))
+    packed = F.array(*[F.struct(F.lit(float(h)).alias("cap"), F.col(f"c{i}").alias("capped"), F.col(f"o{i}").alias("over"), (F.col("all") - F.col(f"c{i}")).alias("trimmed"), F.col("n").alias("n")) for i, h in enumerate(caps)])
     return one.select(F.inline(packed))
 
 

@@ -32,9 +32,9 @@ ORACLES = {
     "global_totals": f"WITH s AS ({SPEAKERS}), x AS (SELECT duration + duration_non_lt AS v FROM s) SELECT sum(v) AS total, median(v) AS median, avg(v) AS mean, count(v) AS n FROM x",
     "lt_totals": f"WITH s AS ({SPEAKERS}) SELECT sum(duration) AS total, avg(duration) AS mean, count(*) AS n FROM s WHERE duration > 0",
     "non_lt_totals": f"WITH s AS ({SPEAKERS}) SELECT sum(duration_non_lt) AS total, avg(duration_non_lt) AS mean, count(*) AS n FROM s WHERE duration_non_lt > 0",
-    "top_speakers_lt": f"WITH s AS ({SPEAKERS}) SELECT sp, sum(duration) AS total FROM s GROUP BY sp ORDER BY total DESC, sp LIMIT 50",
-    "top_speakers_non_lt": f"WITH s AS ({SPEAKERS}) SELECT sp, sum(duration_non_lt) AS total FROM s GROUP BY sp ORDER BY total DESC, sp LIMIT 10",
-    "cap_sweep": f"WITH s AS ({SPEAKERS}), x AS (SELECT duration + duration_non_lt AS v FROM s), h(h) AS (VALUES {_CAPS}) SELECT CAST(h AS DOUBLE) AS cap, sum(least(v, h * 3600.0::DOUBLE)) AS capped, count(*) FILTER (v > h * 3600.0::DOUBLE) AS over, sum(v) - sum(least(v, h * 3600.0::DOUBLE)) AS trimmed FROM x, h GROUP BY h",
+    "top_speakers_lt": f"WITH s AS ({SPEAKERS}) SELECT sp, sum(duration) AS total FROM s WHERE duration > 0 GROUP BY sp ORDER BY total DESC, sp LIMIT 50",
+    "top_speakers_non_lt": f"WITH s AS ({SPEAKERS}) SELECT sp, sum(duration_non_lt) AS total FROM s WHERE duration_non_lt > 0 GROUP BY sp ORDER BY total DESC, sp LIMIT 10",
+    "cap_sweep": f"WITH s AS ({SPEAKERS}), h(h) AS (VALUES {_CAPS}) SELECT CAST(h AS DOUBLE) AS cap, sum(least(duration, h * 3600.0::DOUBLE)) AS capped, count_if(duration > h * 3600.0::DOUBLE)::BIGINT AS over, sum(duration) - sum(least(duration, h * 3600.0::DOUBLE)) AS trimmed, count(*) AS n FROM s, h WHERE duration > 0 GROUP BY h",
     "file_scan": f"WITH f AS ({FILES}) SELECT id, path, duration_in_sec, source FROM f ORDER BY path, id",
     "sources_scan": f"WITH f AS ({FILES}) SELECT id, path FROM f WHERE source IN ('src0', 'src1')",
     "speaker_durations": f"WITH s AS ({SEGMENTS}) SELECT id, speaker, round(sum(\"end\" - start), 3) AS duration_in_sec, CAST(count(*) AS INT) AS segments FROM s GROUP BY ALL",
@@ -103,7 +103,7 @@ ORACLES = {
   regexp_replace(path, '/?[^/]*$', '') AS folder, regexp_replace(path, '.*/', '') AS name, lpad(CAST(doc_id AS VARCHAR), 6, '0') AS shard, 's_' || substr(md5(path || chr(10)), 1, 10) AS cluster, CASE WHEN starts_with(path, 'src/') THEN substr(path, 5) ELSE path END AS below FROM x""",
     "mapped_results": "SELECT CAST(doc_id AS VARCHAR) AS id, 'success' AS status, CAST(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) AS BIGINT) AS breaks FROM documents",
     "training_balance": f"""WITH g AS ({_GENDERED}), f AS (SELECT source, arg_min(gender, doc_id) AS g FROM g WHERE gender <> '-' GROUP BY source),
- m AS (SELECT g.doc_id, f.g, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS turn FROM g JOIN f USING (source)) SELECT g, count(*) AS n FROM m JOIN embeddings e ON e.vec_id = m.doc_id WHERE turn <= 20 GROUP BY g""",
+ m AS (SELECT g.doc_id, f.g, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS turn FROM g JOIN f USING (source)) SELECT g, count(*) AS n FROM m JOIN embeddings e ON e.vec_id = m.doc_id WHERE turn <= 201 GROUP BY g""",
     "ext_cube": "SELECT source, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY CUBE (source, lang)",
     "ext_set_operations": "SELECT doc_id, 'both' AS kind FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels) UNION ALL SELECT doc_id, 'unlabelled' FROM (SELECT doc_id FROM documents EXCEPT ALL SELECT doc_id FROM labels)",
     "ext_hourly_counts": "SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL",

@@ -51,7 +51,7 @@ def top_speakers_non_lt(spark, sf_dir):
 
 @query
 def cap_sweep(spark, sf_dir):
-    return reports.cap_sweep(speakers(spark, sf_dir), F.expr(BOTH), reports.CAPS_HOURS)
+    return reports.cap_sweep(speakers(spark, sf_dir), F.col("duration"), reports.CAPS_HOURS)
 
 
 @query
@@ -412,7 +412,7 @@ def training_balance(spark, sf_dir):
     members = d.select(F.col("source").alias("cluster"), F.col("doc_id").alias("f"), F.col("lang").alias("sp"), F.col("doc_id").alias("pos"))
     labels = gendered(spark, sf_dir).select(F.col("doc_id").alias("f"), F.col("gs").alias("sp"), F.col("gender").alias("label")).where("label <> '-'")
     emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("f"), F.col("embedding").alias("emb"))
-    return ml.balance(ml.training_set(members, labels, emb.join(d.select(F.col("doc_id").alias("f"), F.col("lang").alias("sp")), "f"), most=20))
+    return ml.balance(ml.training_set(members, labels, emb.join(d.select(F.col("doc_id").alias("f"), F.col("lang").alias("sp")), "f")))
 
 
 # Extensions: categories that need no operator of ours.

@@ -1,16 +1,42 @@
-"""Keyed writes on plain Parquet: each returns the table's new state, to be written as a new version or partition."""
+"""Keyed writes on plain Parquet: each returns the table's new state, to be written as a new version or partition.
+
+Where new rows repeat a key, they count as writes one after the other, in the order of ``order`` (columns of the new rows; rows
+equal in it by a hash of their values): the last one stands, for an insert that keeps what is there the first one.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` and those rows of ``new`` whose keys it lacks; of new rows with one key, one."""
-    fresh = new.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+def _turn(new: DataFrame, keys: list[str], order: Sequence[str]) -> Column:
+    rest = [c for c in new.columns if c not in keys]
+    return F.struct(*order, (F.xxhash64(*rest) if rest else F.lit(0)).alias("__hash"))
+
+
+def _one_each(new: DataFrame, keys: list[str], order: Sequence[str], first: Sequence[str] = ()) -> DataFrame:
+    """The last row of each key, but the first row's values of the columns ``first``."""
+    turn, rest = _turn(new, keys, order), [c for c in new.columns if c not in keys]
+    last = [c for c in rest if c not in first]
+    picked = [f(F.struct(*own), turn).alias(name) for f, own, name in ((F.max_by, last, "__last"), (F.min_by, [c for c in rest if c in first], "__first")) if own]
+    if not picked:
+        return new.select(*keys).distinct()
+    return new.groupBy(*keys).agg(*picked).select(*keys, *[F.col(f"__{'first' if c in first else 'last'}.{c}").alias(c) for c in rest])
+
+
+def _last_values(new: DataFrame, keys: list[str], columns: list[str], order: Sequence[str]) -> DataFrame:
+    """Per key the last value of each column that is not null, as __<column>."""
+    turn = _turn(new, keys, order)
+    return new.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), turn)).alias(f"__{c}") for c in columns])
+
+
+def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str], order: Sequence[str] = ()) -> DataFrame:
+    """``target`` and those rows of ``new`` whose keys it lacks; of new rows with one key, the first."""
+    fresh = _one_each(new, keys, order, new.columns).join(target.select(*keys), keys, "left_anti")
     return target.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -22,8 +48,9 @@ def insert_strict(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
     return both.join(checked.where("__ok").select(*keys), keys, "left_semi")
 
 
-def upsert(target: DataFrame, new: DataFrame, keys: list[str], keep: list[str] = ("created_at",)) -> DataFrame:
-    """New rows replace old ones by key; columns of ``keep`` stay those of the old row."""
+def upsert(target: DataFrame, new: DataFrame, keys: list[str], keep: list[str] = ("created_at",), order: Sequence[str] = ()) -> DataFrame:
+    """New rows replace old ones by key; columns of ``keep`` stay those of the old row, or of the first new one."""
+    new = _one_each(new, keys, order, keep)
     columns = [c for c in target.columns if c not in keys]
     n = new.select(*keys, F.lit(True).alias("__new"), *[F.col(c).alias(f"__{c}") for c in columns if c in new.columns])
     o = target.withColumn("__old", F.lit(True))
@@ -38,16 +65,16 @@ def upsert(target: DataFrame, new: DataFrame, keys: list[str], keep: list[str] =
     return o.join(n, keys, "full").select(*keys, *[value(c) for c in columns])
 
 
-def merge_columns(target: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def merge_columns(target: DataFrame, new: DataFrame, keys: list[str], columns: list[str], order: Sequence[str] = ()) -> DataFrame:
     """Insert missing keys and set only ``columns``; null news and all other columns leave the old values."""
-    n = new.select(*keys, *[F.col(c).alias(f"__{c}") for c in columns])
+    n = _last_values(new, keys, columns, order)
     rest = [c for c in target.columns if c not in keys]
     return target.join(n, keys, "full").select(*keys, *[F.coalesce(f"__{c}", c).alias(c) if c in columns else F.col(c) for c in rest])
 
 
-def update_columns(target: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def update_columns(target: DataFrame, new: DataFrame, keys: list[str], columns: list[str], order: Sequence[str] = ()) -> DataFrame:
     """Set ``columns`` where ``new`` has the key; never inserts."""
-    n = new.select(*keys, *[F.col(c).alias(f"__{c}") for c in columns])
+    n = _last_values(new, keys, columns, order)
     return target.join(n, keys, "left").select(*[F.coalesce(f"__{c}", c).alias(c) if c in columns else F.col(c) for c in target.columns])
 
 

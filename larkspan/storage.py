@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a local folder of our own only where it is unset."""
+    """spark.checkpoint.dir; a folder of our own only where it is unset and the master is local."""
     own = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not own:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
         own = f"file://{os.path.join(tempfile.gettempdir(), 'larkspan-shared')}"
         spark.conf.set("spark.checkpoint.dir", own)
     return own

@@ -84,3 +84,15 @@ def test_longest_middles(spark):
     df = spark.createDataFrame([("a", 0.0, 10.0), ("a", 20.0, 22.0), ("b", 0.0, 4.0)], "speaker string, start double, end double")
     assert rounded(iv.longest_middles(df, ["speaker"], 5.0), "speaker", "start", "end") == [("a", 2.5, 7.5)]
     assert rounded(iv.longest_middles_with_fallback(df, ["speaker"]), "speaker", "start", "end") == [("a", 2.5, 7.5), ("b", 0.5, 3.5)]
+
+
+def test_overlaps_spread_over_cells_by_default(spark):
+    import random
+
+    rng = random.Random(4)
+    make = lambda n: [("k" if rng.random() < 0.9 else "q", i, s := rng.random() * 50, s + rng.choice([0.0, 0.3, 1.0, 30.0])) for i in range(n)]
+    left, right = make(120), make(120)
+    frames = [spark.createDataFrame(x, "id string, n int, start double, end double") for x in (left, right)]
+    got = {(r.n, r.r_n) for r in iv.overlaps(*frames, ["id"]).collect()}
+    assert got == {(a[1], b[1]) for a in left for b in right if a[0] == b[0] and a[3] > b[2] and a[2] < b[3]}
+    assert iv.overlaps(frames[0].limit(0), frames[1].limit(0), ["id"]).isEmpty()

@@ -121,3 +121,10 @@ def test_moving_average(spark):
     for given, want in (([1, 2, 3], 2.0), ([1, 3], 2.0), ([1, 2, 3, 4], 3.0), ([1, 2, 3, 4, 5], 4.0)):
         df = spark.createDataFrame(list(enumerate(given)), "i int, x int")
         assert sel.moving_average(df, "x", ["i"], last=3).orderBy(F.desc("i")).first().moving == want
+
+
+def test_reports_take_positive_durations(spark):
+    df = spark.createDataFrame([("a", 7200.0), ("b", 0.0), ("c", -5.0), ("d", 1800.0), ("e", None), ("d", 1800.0)], "sp string, duration double")
+    assert [tuple(r) for r in reports.top_sums(df, "sp", "duration", 50).collect()] == [("a", 7200.0), ("d", 3600.0)]
+    got = [tuple(r) for r in reports.cap_sweep(df, F.col("duration"), (1, 2)).collect()]
+    assert got == [(1.0, 7200.0, 1, 3600.0, 3), (2.0, 10800.0, 0, 0.0, 3)]

@@ -34,6 +34,19 @@ def test_parsers(spark):
     assert parsers.parse_languages(lang, F.col("c")).first().lang_res[0].lang == "lt"
 
 
+def test_repeated_new_keys_are_writes_in_order(spark):
+    old = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 5)], "k int, v string, created_at int")
+    news = [(2, "first", 1, 7), (2, "last", 2, 9), (3, "x", 31, 8), (3, None, 32, 9), (1, None, 3, 3), (None, "N", 6, 1)]
+    new = spark.createDataFrame(news, "k int, v string, created_at int, at int")
+    own = new.select("k", "v", "created_at", "at")
+    assert rows(keyed.upsert(old, own, ["k"], order=["at"]).where("k is not null"), "k", "v", "created_at") == [(1, None, 10), (2, "last", 20), (3, None, 31)]
+    assert rows(keyed.merge_columns(old, own, ["k"], ["v"], ["at"]).where("k is not null"), "k", "v", "created_at") == [(1, "a", 10), (2, "last", 20), (3, "x", None)]
+    assert rows(keyed.update_columns(old, own, ["k"], ["v"], ["at"]), "k", "v") == sorted([(1, "a"), (2, "last"), (None, "n")], key=repr)
+    assert rows(keyed.insert_if_absent(old, own, ["k"], ["at"]).where("k is not null"), "k", "v") == [(1, "a"), (2, "b"), (3, "x")]
+    for write in (keyed.upsert(old, own, ["k"]), keyed.insert_if_absent(old, own, ["k"])):
+        assert write.groupBy("k").count().where("count > 1 and k is not null").isEmpty() and write.exceptAll(write).isEmpty()
+
+
 def test_text_scans(spark, tmp_path):
     (tmp_path / "c.jsonl").write_text('[{"sp": "SPEAKER_00", "f": "abc"}]\n\n[{"sp": "S", "f": "x"}, {"sp": "T", "f": "y"}]\n')
     found = parsers.read_clusters(spark, f"{tmp_path}/c.jsonl")
