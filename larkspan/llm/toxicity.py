@@ -168,7 +168,8 @@ def ratios(texts: DataFrame, tables: tuple[DataFrame, DataFrame] | None, broadca
     by_word, by_stem = tables
     few = by_word.count() <= broadcast_rows and by_stem.count() <= broadcast_rows
     # Rows of equal id and text are scored together: ``first`` tells how many there are.
-    own = texts.select("id", F.xxhash64("text").alias("text_key"), F.posexplode_outer(words_of(F.col("text"))).alias("place", "word"))
+    own = texts.select("id", F.xxhash64("text").alias("text_key"), words_of(F.col("text")).alias("words"))  # before words are rows
+    own = own.select("id", "text_key", F.posexplode_outer("words").alias("place", "word"))
     stem = stem_of(F.col("word"))
     own = own.select("id", "text_key", (F.coalesce("place", F.lit(0)) == 0).cast("long").alias("first"), F.xxhash64("word").alias("word_key"), F.when(stem.isNotNull(), F.xxhash64(stem)).alias("stem_key"), F.col("word").isNotNull().cast("long").alias("n"))
     if not few:
