@@ -114,12 +114,13 @@ def test_extract_against_brute_force(docs):
     found = sorted(((r.page_id, r.url, r.text, r.n_lines, r.n_template) for r in got.collect()), key=repr)
     assert found == brute(rows)
     lines = "\n".join(x[2] for x in found)
-    assert "Template of" not in lines and "A phrase that all have" in lines
+    assert 0 < lines.count("Template of") < 40 and lines.count("A phrase that all have") > 60  # near copies keep theirs
 
 
 def test_extract(docs):
     rows = [(1, "http://h.x/a/1", PAGE), (2, "http://h.x/a/2", PAGE.replace("Hello", "Howdy")), (2, "http://h.x/a/2", "<p>only</p>"), (7, "http://g.x/a/1", "<article>" + "word " * 50_000 + "</article>"), (8, "http://g.x/a/2", "<article>" + "<p>x y</p>" * 30_000 + "</article>")]
     got = sorted((r.page_id, r.text) for r in m.extract(docs(rows, "page_id long, url string, html string")).collect())
-    assert got[:3] == [(1, "Hello & bye x"), (2, "Howdy & bye x\nSecond para"), (2, "only")] or got[:3] == [(1, "Hello & bye x"), (2, "Howdy & bye x"), (2, "only")]
+    # the pages of equal URL are each other's mates, and share nothing
+    assert got[:3] == [(1, "Hello & bye x"), (2, "Menu one\nHowdy & bye x\nSecond para"), (2, "only")]
     assert got[3:] == [(7, ("word " * 50_000).strip()), (8, "\n".join(["x y"] * 30_000))]
     assert m.extract(docs([], "page_id long, url string, html string")).count() == 0
