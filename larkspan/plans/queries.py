@@ -213,12 +213,17 @@ def reconciled_segments(spark, sf_dir):
     s = segments(spark, sf_dir)
     ends = s.groupBy("id").agg(F.max("end").alias("duration"))
     rows = s.join(ends, "id").select("id", "speaker", "start", "end", (F.col("speaker") == "view").alias("music"), "duration", F.col("event_id").alias("pos"))
-    return intervals.reconcile(rows).where("end - start >= 0.2")
+    found = intervals.reconcile(rows).where("end - start >= 0.2")
+    return found.withColumn("start", F.round("start", 3)).withColumn("end", F.round("end", 3))
 
 
 @query
 def probe_windows(spark, sf_dir):
-    return intervals.spread_probes(segments(spark, sf_dir))
+    """Probes by the time since a user's first segment."""
+    s = segments(spark, sf_dir)
+    low = s.groupBy("id").agg(F.min("start").alias("low"))
+    own = s.join(low, "id").select("id", (F.col("start") - F.col("low")).alias("start"), (F.col("end") - F.col("low")).alias("end"))
+    return intervals.spread_probes(own).select("id", "length", F.round("start", 3).alias("start"))
 
 
 @query
@@ -227,7 +232,8 @@ def restored_time(spark, sf_dir):
     speech = s.where("speaker = 'view'").select("id", "start", "end")
     low = s.groupBy("id").agg(F.min("start").alias("low"))
     spoken = s.where("speaker = 'click'").join(low, "id").select("id", "event_id", (F.col("start") - F.col("low")).alias("start"), (F.col("end") - F.col("low")).alias("end"))
-    return intervals.restore_time(spoken, speech)
+    found = intervals.restore_time(spoken, speech)
+    return found.withColumn("start", F.round("start", 3)).withColumn("end", F.round("end", 3))
 
 
 def vectors(spark, sf_dir) -> DataFrame:

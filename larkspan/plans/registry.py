@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from larkspan.plans.oracles import ORACLES
-from larkspan.plans.queries import QUERIES
+from larkspan.plans import file_queries, oracles, queries
 
+QUERIES = queries.QUERIES | file_queries.QUERIES
+ORACLES = oracles.ORACLES | file_queries.ORACLES
 FLAGSHIP = "w5_merge_segments"
 
 __all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
