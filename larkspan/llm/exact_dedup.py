@@ -12,17 +12,19 @@ and the text are not read.
 
 from __future__ import annotations
 
-from itertools import count
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import lean, mix, text_of, written, WS
+from larkspan.llm.common import WS, lean, met_by_key, mix, text_of, written
 
 BUCKET_DIGESTS = 4096
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Stands for a null id in an index.
+_NO_ID = -1 << 63
+#: Buckets in a task.
+TASK_BUCKETS = 8
 _INDEX = "bucket int, n int, seeds binary, digests binary, winners binary, counts binary"
 _FOUND = "digest binary, keep_id long, group_size long, in_history boolean"
 
@@ -42,7 +44,8 @@ def _slots(seeds: np.ndarray, digests: np.ndarray, n: int) -> np.ndarray:
 def minimal_perfect_hash(digests: np.ndarray) -> np.ndarray:
     """Seeds that send each of the distinct ``digests`` (n x 32 bytes) to a slot of its own in 0 .. n - 1.
 
-    Small buckets try seeds until their keys meet free slots; a bucket of one key names its slot outright.
+    Small buckets, the largest first, try blocks of seeds until their keys meet free slots; a bucket of one key names its
+    slot outright.
     """
     n = len(digests)
     key, small = _parts(digests)
@@ -51,21 +54,20 @@ def minimal_perfect_hash(digests: np.ndarray) -> np.ndarray:
     order, sizes = np.argsort(small, kind="stable"), np.bincount(small, minlength=m)
     ends = np.cumsum(sizes)
     seeds, taken = np.zeros(m, np.int32), np.zeros(n, bool)
-    single = []
-    for b in np.argsort(-sizes, kind="stable"):
-        if sizes[b] == 0:
-            break
-        if sizes[b] == 1:
-            single.append(b)
-            continue
-        keys = key[order[ends[b] - sizes[b] : ends[b]]]
-        for seed in count():
-            at = (mix(keys + np.uint64(seed) * _STEP) % np.uint64(n)).astype(np.int64)
-            if not taken[at].any() and len(set(at.tolist())) == len(at):
+    many = np.argsort(-sizes, kind="stable")[: int((sizes > 1).sum())]
+    for b in many.tolist():
+        keys, first, tries = key[order[ends[b] - sizes[b] : ends[b]]], 0, 4
+        while True:
+            trial = np.arange(first, first + tries, dtype=np.uint64)
+            at = (mix(keys + (trial * _STEP)[:, None]) % np.uint64(n)).astype(np.int64)
+            free = np.flatnonzero(~taken[at].any(axis=1))
+            good = next((i for i in free.tolist() if len(set(at[i].tolist())) == len(keys)), None)
+            if good is not None:
                 break
-        seeds[b] = seed
-        taken[at] = True
-    for b, slot in zip(single, np.flatnonzero(~taken).tolist(), strict=False):
+            first, tries = first + tries, min(2 * tries, 1024)
+        seeds[b] = first + good
+        taken[at[good]] = True
+    for b, slot in zip(np.flatnonzero(sizes == 1).tolist(), np.flatnonzero(~taken).tolist(), strict=False):
         seeds[b] = -slot - 1
     return seeds
 
@@ -79,13 +81,13 @@ def _build(bucket: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     seeds = minimal_perfect_hash(digests)
     slot, n = _slots(seeds, digests, len(digests)), len(digests)
     own, winners, counts = np.empty_like(digests), np.empty(n, np.int64), np.empty(n, np.int64)
-    own[slot], winners[slot], counts[slot] = digests, rows["id"].fillna(-1 << 63).astype(np.int64), rows["n"]
+    own[slot], winners[slot], counts[slot] = digests, rows["id"], rows["n"]
     return pd.DataFrame({"bucket": [bucket[0]], "n": [n], "seeds": [seeds.tobytes()], "digests": [own.tobytes()], "winners": [winners.tobytes()], "counts": [counts.tobytes()]})
 
 
 def _probe(_: tuple, new: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
     digests = _matrix(new["digest"])
-    winner, total = [None if pd.isna(x) else int(x) for x in new["id"]], new["n"].to_numpy(np.int64, copy=True)
+    winner, total = new["id"].to_numpy(np.int64, copy=True), new["n"].to_numpy(np.int64, copy=True)
     member = np.zeros(len(new), bool)
     parts = [pd.DataFrame({"digest": [], "keep_id": [], "group_size": [], "in_history": []})]
     if len(index):
@@ -95,14 +97,13 @@ def _probe(_: tuple, new: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         if len(new):
             slot = _slots(np.frombuffer(seeds, np.int32), digests, n)
             member = (own[slot] == digests).all(axis=1)
-            for i in np.flatnonzero(member):
-                known = winners[slot[i]]
-                winner[i] = min((x for x in (winner[i], None if known == -1 << 63 else int(known)) if x is not None), default=None)
-                total[i] += counts[slot[i]]
+            known, mine = winners[slot[member]], winner[member]
+            winner[member] = np.where(mine == _NO_ID, known, np.where(known == _NO_ID, mine, np.minimum(mine, known)))
+            total[member] += counts[slot[member]]
             alone[slot[member]] = False
         rest = np.flatnonzero(alone)
-        parts.append(pd.DataFrame({"digest": [own[i].tobytes() for i in rest], "keep_id": pd.array([None if winners[i] == -1 << 63 else int(winners[i]) for i in rest], "Int64"), "group_size": counts[rest], "in_history": True}))
-    parts.append(pd.DataFrame({"digest": list(new["digest"]), "keep_id": pd.array(winner, "Int64"), "group_size": total, "in_history": member}))
+        parts.append(pd.DataFrame({"digest": [own[i].tobytes() for i in rest], "keep_id": winners[rest], "group_size": counts[rest], "in_history": True}))
+    parts.append(pd.DataFrame({"digest": list(new["digest"]), "keep_id": winner, "group_size": total, "in_history": member}))
     return pd.concat([p for p in parts if len(p)] or parts[:1])
 
 
@@ -113,17 +114,24 @@ def with_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _distinct(digests: DataFrame, buckets: int) -> DataFrame:
     """One row per digest, aggregated before the shuffle, with its bucket."""
-    return digests.groupBy("digest").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int"))
+    one = digests.groupBy("digest").agg(F.coalesce(F.min("id"), F.lit(_NO_ID)).alias("id"), F.count(F.lit(1)).alias("n"))
+    return one.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int"))
+
+
+def _dealt(rows: DataFrame, buckets: int) -> DataFrame:
+    """Buckets over as many tasks as they need, however few bytes they hold: each costs time, not space."""
+    return rows.repartition(max(1, -(-buckets // TASK_BUCKETS)), "bucket")
 
 
 def build_index(history: DataFrame, buckets: int) -> DataFrame:
     """The index of a history of (id, digest) rows, written to the shared folder."""
-    return written(_distinct(history, buckets).groupBy("bucket").applyInPandas(_build, _INDEX), "digest-index")
+    return written(_dealt(_distinct(history, buckets), buckets).groupBy("bucket").applyInPandas(_build, _INDEX), "digest-index")
 
 
 def probe_index(index: DataFrame, incoming: DataFrame, buckets: int) -> DataFrame:
     """For each digest of history and ``incoming`` (id, digest): keep_id, group_size and whether the history has it."""
-    return _distinct(incoming, buckets).groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(_probe, _FOUND)
+    found = _dealt(_distinct(incoming, buckets), buckets).groupBy("bucket").cogroup(_dealt(index, buckets).groupBy("bucket")).applyInPandas(_probe, _FOUND)
+    return found.withColumn("keep_id", F.nullif("keep_id", F.lit(_NO_ID)))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", history_until: int | None = None) -> DataFrame:
@@ -140,6 +148,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     old = F.coalesce(F.col("id") <= middle, F.lit(False))
     index = build_index(digests.where(old), buckets)
     found = written(probe_index(index, digests.where(~old), buckets), "digest-winners")
-    return digests.join(found, "digest").select(
+    met = met_by_key(digests, found.withColumn("copies", F.col("group_size")), ["digest"], "copies", n)
+    return met.select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "in_history"
     )
