@@ -1,13 +1,14 @@
-r"""Removal of long repeated byte strings by grouping anchored fingerprints, in place of sorted suffix arrays.
+r"""Removal of long repeated byte strings with a logarithmic family of sparse suffix indexes.
 
 Suffixes start at content-defined anchors: the anchor of a 200-byte window is its leftmost smallest hashed 50-byte
 string, so equal windows have equal anchors, and each window belongs to exactly one. The windows of one anchor make up its
-context. Removal rests on which windows are equal, not on the order of suffixes, so nothing is ordered byte by byte and no
-levels are merge-scanned: a batch's table groups its anchors' contexts by their fingerprints (50-byte prefix and whole
-context), each distinct context once, with its number and one of its places. The family keeps such tables in levels: a
-new batch is level 0; whenever two levels have equal size class, they are united by grouping, which adds the numbers of
-equal contexts, into one of the next level. So a batch is written log(batches) times. Batches are not compared with the
-levels as they come; after the last one a grouping of all levels by prefix tells which contexts match anything.
+context. Batches of documents come one after the other. A batch's index holds its distinct contexts, in the order of the
+fingerprints of their 50-byte prefix and of the whole context (not of their bytes: removal rests on which strings are equal,
+and equal ones are neighbours in this order too), each with its number and one of its places. The family keeps indexes in
+levels of 1, 2, 4, ... batches. A new batch is scanned against all levels in one merge of the sorted indexes, which tells
+the contexts and the prefixes that it has in common with what is there or with itself; the levels below the first empty one
+are merged with it into that one by the same pass. So a context is found at the batch in which its second copy comes, and a
+batch is written log(batches) times; with ``BATCHES`` = 5 two levels stand at the end.
 
 - A context found more than once: all its windows are repeated.
 - Contexts that share the 50-byte prefix but differ: their windows are hashed (one place of each distinct context) and
@@ -15,7 +16,8 @@ levels as they come; after the last one a grouping of all levels by prefix tells
   ones in buckets of bounded bytes.
 
 Every window's repetition is judged on the input as given; a document's removed bytes are the union of its repeated
-windows. Fingerprints of contexts and windows are compared with their prefix's, 128 bits in all.
+windows. Fingerprints of contexts and windows are compared with their prefix's, 128 bits in all (power series modulo 2 ** 64, which
+are sound for strings of this length: contexts have at most 350 bytes).
 
 Defined cases: a null text counts as empty; texts of fewer than ``WINDOW`` bytes lose nothing; rows that repeat an id are
 documents of their own (equal rows repeat each other); a null id is returned as such; an empty table gives no rows; other
@@ -25,6 +27,7 @@ columns are not read. Texts beyond ``SEGMENT`` bytes are read in segments that o
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,16 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import _INVERSE, encoded, forget, lean, mix, powers, prefix_hashes, range_hashes, slices, text_of, written
+from larkspan.llm.common import _INVERSE, encoded, forget, lean, met_by_key, mix, powers, prefix_hashes, range_hashes, settle, slices, text_of, written
 
 WINDOW = 200
 PREFIX = 50
 SEGMENT = 1 << 20
-BATCHES = 4
+BATCHES = 5
 HOT_CONTEXTS = 20_000
 BUCKET_BYTES = 8 << 20
 _PLACE_BITS = np.uint64(24)  # positions in a segment; the other bits of a hash decide the order
 _ANCHORS = "id long, th long, s0 int, s1 int, h50 long, hu long"
+#: Where a context of a merge stands: in the new batch, in a level that is merged with it, in another level.
+_NEW, _MERGED, _STANDS = 1, 2, 4
 
 
 def _segments(texts: list[bytes]):
@@ -107,40 +112,51 @@ def find_anchors(docs: DataFrame) -> DataFrame:
 
 
 class IndexFamily:
-    """Levels of grouped contexts; ``levels[k]`` holds the contexts of ``2 ** k`` batches, or None."""
+    """Levels of distinct contexts (h50, hu, n, row); ``levels[k]`` holds those of ``2 ** k`` batches, or None. ``row`` is
+    the least number of an anchor with the context.
+
+    ``whole``: (h50, hu, n) of contexts found again, by batch; ``prefixes``: (h50, different) of prefixes that different
+    contexts share. Where several batches tell of one, the greatest number is that of all.
+    """
 
     def __init__(self) -> None:
         self.levels: list[DataFrame | None] = []
-
-    @staticmethod
-    def array_of(batch_anchors: DataFrame) -> DataFrame:
-        place = F.struct("id", "th", "s0", "s1")
-        return batch_anchors.groupBy("h50", "hu").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
-
-    @staticmethod
-    def merged(a: DataFrame, b: DataFrame) -> DataFrame:
-        return a.union(b).groupBy("h50", "hu").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
-
-    def append(self, batch_anchors: DataFrame) -> None:
-        new, old, k = self.array_of(batch_anchors), [], 0
-        while k < len(self.levels) and self.levels[k] is not None:
-            new = self.merged(self.levels[k], new)
-            old.append(self.levels[k])
-            self.levels[k] = None
-            k += 1
-        self.levels += [None] * (k + 1 - len(self.levels))
-        self.levels[k] = written(new.sortWithinPartitions("h50", "hu"), "suffix-level")
-        forget(*old)
-
-    def contexts(self) -> DataFrame:
-        """(h50, hu, n, at) over all levels."""
-        own = [x for x in self.levels if x is not None]
-        if len(own) == 1:
-            return own[0]
-        out = own[0]
-        for x in own[1:]:
-            out = out.union(x)
-        return out.groupBy("h50", "hu").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
+        self.whole: list[DataFrame] = []
+        self.prefixes: list[DataFrame] = []
+
+    def append(self, anchors_of_batch: DataFrame) -> None:
+        k = next((i for i, x in enumerate(self.levels) if x is None), len(self.levels))
+        merged, stands = self.levels[:k], [x for x in self.levels[k:] if x is not None]
+        rows = anchors_of_batch.select("h50", "hu", F.lit(1).cast("long").alias("n"), "row", F.lit(_NEW).alias("tag"))
+        for tag, levels in ((_MERGED, merged), (_STANDS, stands)):
+            for x in levels:
+                rows = rows.union(x.withColumn("tag", F.lit(tag)))
+        own = F.col("tag") != _STANDS
+        scan = rows.groupBy("h50", "hu").agg(F.bit_or("tag").alias("tags"), F.sum(F.when(own, F.col("n"))).alias("n"), F.sum("n").alias("copies"), F.min(F.when(own, F.col("row"))).alias("row"))
+        scan = written(scan.sortWithinPartitions("h50", "hu"), "suffix-level")
+        fresh = F.col("tags").bitwiseAND(_NEW) > 0
+        self.whole.append(written(scan.where(fresh & (F.col("copies") > 1)).select("h50", "hu", F.col("copies").alias("n")), "found-contexts"))
+        by_prefix = scan.groupBy("h50").agg(F.count(F.lit(1)).alias("different"), F.bit_or("tags").alias("tags"))
+        self.prefixes.append(written(by_prefix.where((F.col("different") > 1) & fresh).select("h50", "different"), "found-prefixes"))
+        level = scan.where("n is not null").select("h50", "hu", "n", "row")
+        level._larkspan_path = scan._larkspan_path
+        forget(*merged)
+        self.levels = [None] * k + [level] + self.levels[k + 1 :]
+
+    def matches(self) -> DataFrame:
+        """(h50, hu, n, row, different) of the contexts found again (n > 1) and of those that share a prefix with another
+        one (``different`` of them, and the ``row`` of an anchor)."""
+        whole = reduce(DataFrame.union, self.whole).groupBy("h50", "hu").agg(F.max("n").alias("n"))
+        shared = written(reduce(DataFrame.union, self.prefixes).groupBy("h50").agg(F.max("different").alias("different")), "shared-prefixes")
+        levels = reduce(DataFrame.union, [x for x in self.levels if x is not None])
+        contexts = levels.join(shared.select("h50"), "h50", "left_semi").groupBy("h50", "hu").agg(F.sum("n").alias("n"), F.min("row").alias("row"))
+        total = shared.agg(F.sum("different")).first()[0] or 0
+        unsure = met_by_key(written(contexts, "contexts-of-prefixes"), shared.withColumn("weight", F.col("different")), ["h50"], "weight", total)
+        both = whole.select("h50", "hu", "n", F.lit(None).cast("long").alias("row"), F.lit(None).cast("long").alias("different")).unionByName(unsure)
+        return both.groupBy("h50", "hu").agg(F.max("n").alias("n"), F.max("row").alias("row"), F.max("different").alias("different"))
+
+    def tables(self) -> list[DataFrame]:
+        return [x for x in (*self.levels, *self.whole, *self.prefixes) if x is not None]
 
 
 def _window_hashes(texts: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,17 +210,18 @@ def _cut(batches):
 
 def repeated_ranges(docs: DataFrame, batches: int = BATCHES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(id, th, low, high): byte ranges of ``_keyed`` documents that repeated windows cover; ranges may overlap."""
-    found = written(find_anchors(docs), "anchors")
+    found = written(find_anchors(docs).withColumn("row", F.monotonically_increasing_id()), "anchors")
     family = IndexFamily()
     for b in range(batches):
         family.append(found.where(F.pmod(F.xxhash64("id", "th"), F.lit(batches)) == b))
-    contexts = family.contexts()
-    shared = contexts.groupBy("h50").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
-    unsure = written(contexts.join(shared, "h50").select("h50", "n", "different", "at.*"), "shared-prefixes")
-    sure = found.join(contexts.where("n > 1").select("h50", "hu"), ["h50", "hu"]).select("id", "th", F.col("s0").cast("long").alias("low"), (F.col("s1") + WINDOW).cast("long").alias("high"))
-    # Neighbouring anchors' contexts overlap, so a document's sure ranges shrink to few before they move on.
-    sure = written(sure, "sure-ranges")
-    forget(found, *(x for x in family.levels if x is not None))
+    keys = written(family.matches().withColumnsRenamed({"row": "one"}).withColumn("weight", F.col("n")), "found-contexts")
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    met = met_by_key(found, keys, ["h50", "hu"], "weight", total)
+    # Of anchors with a context that is found again, the range; of a context that shares its prefix, one anchor.
+    met = written(met.where("n > 1 or row = one").select("id", "th", "s0", "s1", "h50", "n", F.when(F.col("row") == F.col("one"), F.col("different")).alias("different")), "met-anchors")
+    forget(found, keys, *family.tables())
+    sure = met.where("n > 1").select("id", "th", F.col("s0").cast("long").alias("low"), (F.col("s1") + WINDOW).cast("long").alias("high"))
+    unsure = met.where("different is not null")
     places = unsure.groupBy("id", "th").agg(F.collect_list(F.struct("h50", "n", "different", "s0", "s1")).alias("places"))
 
     def cut(batches):
@@ -219,7 +236,7 @@ def repeated_ranges(docs: DataFrame, batches: int = BATCHES, hot_contexts: int =
 
     schema = "h50 long, n long, different long, s0 int, s1 int, id long, th long, context binary"
     known = written(docs.join(places, ["id", "th"]).select("id", "th", "text", "places").mapInArrow(cut, schema), "contexts")
-    forget(unsure)  # and, with it, the shuffle of the texts
+    settle(docs.sparkSession)  # the shuffle of the texts
     few = known.where(F.col("different") <= hot_contexts)
     size = few.agg(F.sum(F.octet_length("context"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
