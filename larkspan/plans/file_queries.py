@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 
 from larkspan import schemas
 from larkspan.functions import scalars
-from larkspan.operators import audio, augment, ordered, reports, selection, udf_slots
+from larkspan.operators import audio, augment, graph, ml, ordered, reports, selection, udf_slots
 from larkspan.plans import entrypoints
-from larkspan.plans.queries import packable
+from larkspan.plans.queries import near_edges, packable, vectors
 from larkspan.plans.relations import FILES, SEGMENTS, files, segments, table
 from larkspan.sinks import archives, artifacts
 from larkspan.sinks import tables as keyed
 from larkspan.sources import parsers
 from larkspan.sources import tables as scans
-from larkspan.storage import shared_dir
+from larkspan.storage import shared_dir, written
 from larkspan.streaming import completeness
 
 QUERIES: dict = {}
@@ -418,6 +418,44 @@ def tar_complete_stream(spark, sf_dir):
     return spark.read.parquet(out).select(F.col("tar").cast("long").alias("tar"), "files", "done", "complete")
 
 
+# Iterative operators: what must hold of any right result.
+
+
+@query("SELECT count(*) AS nodes, true AS within_components, true AS connected, true AS better FROM embeddings")
+def communities_quality(spark, sf_dir):
+    """M1: communities cover all nodes, are connected parts of components, and raise modularity above that of components."""
+    nodes, e = vectors(spark, sf_dir).select(F.col("id").alias("node")), written(near_edges(spark, sf_dir), "edges")
+    found = written(graph.communities(nodes, e), "communities")
+    whole = written(graph.components(nodes, e), "components")
+    crossing = found.join(whole, "node").groupBy("community").agg(F.count_distinct("component").alias("n")).where("n > 1").isEmpty()
+    a, b = (found.select(F.col("node").alias(n), F.col("community").alias(c)) for n, c in (("src", "c1"), ("dst", "c2")))
+    parts = graph.components(nodes, e.join(a, "src").join(b, "dst").where("c1 = c2").select("src", "dst"))
+    connected = parts.select("component").distinct().count() == found.select("community").distinct().count()
+    better = graph.modularity(found, e) >= graph.modularity(whole.withColumnRenamed("component", "community"), e)
+    return spark.createDataFrame([(found.count(), crossing, connected, better)], "nodes long, within_components boolean, connected boolean, better boolean")
+
+
+@query("SELECT count(*) AS n, true AS banded, true AS better FROM embeddings")
+def gender_model_quality(spark, sf_dir):
+    """M3 and M4: letters follow the probabilities and their dead band, which rank the classes no worse than chance."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("emb"), F.when(F.col("label") % 2 == 0, "m").otherwise("f").alias("truth"))
+    found = written(ml.predict_gender(ml.train_gender(v.withColumnRenamed("truth", "g")), v).select("truth", "g", "p"), "genders")
+    wrong = F.when(F.col("g") == "m", F.col("p") < 0.7).when(F.col("g") == "f", F.col("p") > 0.3).otherwise((F.col("p") >= 0.7) | (F.col("p") <= 0.3))
+    one = found.agg(F.count(F.lit(1)).alias("n"), F.count_if(wrong).alias("wrong"), F.avg(F.when(F.col("truth") == "m", F.col("p"))).alias("m"), F.avg(F.when(F.col("truth") == "f", F.col("p"))).alias("f"))
+    return one.select("n", (F.col("wrong") == 0).alias("banded"), (F.col("m") >= F.col("f")).alias("better"))
+
+
+@query("SELECT count(*) AS n, true AS in_range, true AS better FROM embeddings")
+def kmeans_quality(spark, sf_dir):
+    """Every vector has one of 16 units, and lies nearer to its unit's mean than to the mean of all, in sum."""
+    v = vectors(spark, sf_dir)
+    found = written(v.join(ml.units(ml.train_units(v, k=16), v).select("id", "unit"), "id").select("id", "unit", F.posexplode("emb").alias("i", "x")), "units")
+    spread = lambda *by: found.groupBy("i", *by).agg((F.sum(F.col("x") * F.col("x")) - F.sum("x") * F.avg("x")).alias("s")).agg(F.sum("s").alias("s"))
+    ids = found.groupBy("id").agg(F.count_distinct("unit").alias("units"), F.max("unit").alias("unit"))
+    one = ids.agg(F.count(F.lit(1)).alias("n"), F.min((F.col("units") == 1) & F.col("unit").between(0, 15)).alias("in_range"))
+    return one.crossJoin(spread("unit").withColumnRenamed("s", "own")).crossJoin(spread()).select("n", "in_range", (F.col("own") <= F.col("s")).alias("better"))
+
+
 # Interval jobs that only a fold or a recursion can express.
 
 ORACLES["reconciled_segments"] = f"""WITH RECURSIVE s AS ({SEGMENTS}), e AS (SELECT id, max("end") AS d FROM s GROUP BY id),

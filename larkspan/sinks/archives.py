@@ -18,15 +18,25 @@ def _storage(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+class _Aside:
+    """A file that is written aside and renamed at the end: readers never see a part of it, tasks hold no more than a buffer."""
+
+    def __init__(self, folder: str, name: str):
+        self.storage, base = _storage(folder)
+        self.target, self.aside, self.path = f"{base}/{name}", f"{base}/{name}.{uuid.uuid4().hex}", f"{folder}/{name}"
+        self.storage.create_dir(self.target.rpartition("/")[0], recursive=True)
+        self.out = self.storage.open_output_stream(self.aside)
+
+    def done(self) -> str:
+        self.out.close()
+        self.storage.move(self.aside, self.target)
+        return self.path
+
+
 def _put(folder: str, name: str, data: bytes) -> str:
-    """Write aside, then rename: readers never see a part of a file."""
-    storage, base = _storage(folder)
-    target, aside = f"{base}/{name}", f"{base}/{name}.{uuid.uuid4().hex}"
-    storage.create_dir(target.rpartition("/")[0], recursive=True)
-    with storage.open_output_stream(aside) as out:
-        out.write(data)
-    storage.move(aside, target)
-    return f"{folder}/{name}"
+    file = _Aside(folder, name)
+    file.out.write(data)
+    return file.done()
 
 
 def export_artifacts(kv: DataFrame, folder: str) -> DataFrame:
@@ -47,12 +57,12 @@ def _stream(members: DataFrame, keys: list[str], folder: str, suffix: str, opene
     """One archive per key, members added as they stream by; returns (archive, members)."""
 
     def run(batches):
-        key = archive = None
-        n, held = 0, None
+        key = archive = file = None
+        n = 0
 
         def close():
             archive.close()
-            return pd.DataFrame({"archive": [_put(folder, "/".join(map(str, key)) + suffix, held.getvalue())], "members": [n]})
+            return pd.DataFrame({"archive": [file.done()], "members": [n]})
 
         for b in batches:
             for r in b.itertuples(index=False):
@@ -60,8 +70,8 @@ def _stream(members: DataFrame, keys: list[str], folder: str, suffix: str, opene
                 if own != key:
                     if archive is not None:
                         yield close()
-                    key, n, held = own, 0, io.BytesIO()
-                    archive = opened(held)
+                    key, n, file = own, 0, _Aside(folder, "/".join(map(str, own)) + suffix)
+                    archive = opened(file.out)
                 add(archive, r.member, bytes(r.data))
                 n += 1
         if archive is not None:
@@ -82,7 +92,7 @@ def write_tars(members: DataFrame, keys: list[str], folder: str) -> DataFrame:
         info.size = len(data)
         tar.addfile(info, io.BytesIO(data))
 
-    return _stream(members.where(F.octet_length("data") > 0), keys, folder, ".tar", lambda f: tarfile.open(fileobj=f, mode="w"), add)
+    return _stream(members.where(F.octet_length("data") > 0), keys, folder, ".tar", lambda f: tarfile.open(fileobj=f, mode="w|"), add)
 
 
 def read_tars(tars: DataFrame, extensions: tuple[str, ...] = (".wav", ".flac")) -> DataFrame:

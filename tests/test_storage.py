@@ -164,6 +164,10 @@ def test_graph(spark):
     found = graph.communities(nodes, edges)
     assert dict(rows(found, "node", "community")) == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 3, 6: 6, 7: 6, 8: 8}
     assert graph.modularity(found, edges) > graph.modularity(graph.components(nodes, edges).withColumnRenamed("component", "community"), edges)
+    # four cliques of four in a ring: whole groups move, communities are connected, a second level can only help
+    ring = [(4 * c + i, 4 * c + k, 1.0) for c in range(4) for i in range(4) for k in range(i)] + [(4 * c + 3, (4 * c + 4) % 16, 0.5) for c in range(4)]
+    cliques = graph.communities(spark.range(16).withColumnRenamed("id", "node"), spark.createDataFrame(ring, "src long, dst long, w double"))
+    assert dict(rows(cliques, "node", "community")) == {n: n // 4 * 4 for n in range(16)}
 
 
 def test_knn_by_lists_recalls_exact(spark):
@@ -182,7 +186,6 @@ def test_registered_edges_are_exact_at_every_size(spark, tmp_path, monkeypatch):
     def refused(*_):
         raise AssertionError("inverted lists")
 
-    monkeypatch.setattr(similarity, "EXACT_ROWS", 100)
     monkeypatch.setattr(similarity, "BLOCK_ROWS", 64)
     monkeypatch.setattr(similarity, "centroids", refused)
     v = np.random.default_rng(3).standard_normal((300, 8)).astype(np.float32)
