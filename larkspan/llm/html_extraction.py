@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import encoded, lean, slices, span_hashes, without_spans, written
+from larkspan.llm.common import encoded, lean, met_by_key, slices, span_hashes, without_spans, written
 
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*?"""
 _RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button"
@@ -309,12 +309,14 @@ def template_lines(found: DataFrame) -> DataFrame:
     own = found.select("row", "marked", "keys", "sizes")
     met = own.join(pairs.where("mate is not null").withColumnRenamed("id", "row"), "row").join(mate, "mate")
     shared = written(met.mapInPandas(_align, "row long, marked boolean, place int, key long"), "shared-blocks")
-    asked = written(shared.where("marked").select("key").distinct(), "asked-blocks")
+    asked = written(shared.where("marked").groupBy("key").agg(F.count(F.lit(1)).alias("times")), "asked-blocks")
     every = found.select("host", F.explode(F.array_distinct("keys")).alias("key"))
     few = asked.count() <= BROADCAST_LOST
-    hosts = (every.join(F.broadcast(asked), "key", "left_semi") if few else every).groupBy("key").agg(F.min("host").alias("a"), F.max("host").alias("b")).where("a = b")
-    single = (hosts if few else hosts.join(asked, "key", "left_semi")).select("key", F.lit(True).alias("single"))
-    return shared.join(single, "key", "left").where("not marked or single").select("row", "place")
+    hosts = (every.join(F.broadcast(asked), "key", "left_semi") if few else every).groupBy("key").agg(F.min("host").alias("a"), F.max("host").alias("b"))
+    single = written(asked.join(hosts.where("a = b").select("key"), "key"), "template-keys")
+    total = single.agg(F.sum("times")).first()[0] or 0
+    own = met_by_key(shared.where("marked"), single, ["key"], "times", total)
+    return own.select("row", "place").union(shared.where("not marked").select("row", "place"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
