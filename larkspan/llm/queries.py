@@ -73,7 +73,7 @@ FROM d
 OP4_SQL = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
      m AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
-SELECT page_id, coalesce(url, 'urn:page:' || page_id) AS url, octet_length(encode(html)) AS payload_bytes,
+SELECT page_id, coalesce(nullif(url, ''), 'urn:page:' || page_id) AS url, octet_length(encode(html)) AS payload_bytes,
        array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          ((('0x' || substr(h, CAST((i // 4) * 5 + 1 AS BIGINT), 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,

@@ -10,7 +10,7 @@ share; a retried task writes packages of its own, and only those of successful t
 Of records with equal payloads of at least ``min_bytes`` bytes the one with the smallest id is a response, the others
 revisit it and carry no payload; smaller ones are all responses.
 
-Defined cases: a null payload counts as empty; a null URL is written as urn:page:<id>, and line ends in URLs are percent-
+Defined cases: a null payload counts as empty; a null or empty URL is written as urn:page:<id>, and line ends in URLs are percent-
 encoded; a null id can be written and read but is never revisited; rows that repeat the smallest id are all responses; an
 empty table gives no rows; other columns are not read.
 """

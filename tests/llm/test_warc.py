@@ -86,3 +86,9 @@ def test_broken_payload():
         m.parse_record(c.compress(raw) + c.flush())
 
 
+
+
+def test_empty_urls_are_named_after_the_page(docs):
+    rows = [(1, "", "a"), (2, None, "b"), (3, "http://x/\n", "c")]
+    got = {r.id: r.url for r in m.read_packages(m.write_packages(docs(rows, "page_id long, url string, html string"))).collect()}
+    assert got == {1: "urn:page:1", 2: "urn:page:2", 3: "http://x/%0A"}
