@@ -96,3 +96,13 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (off) AS n_removed, count(*)
        sha256(coalesce(string_agg(raw, chr(10) ORDER BY i) FILTER (NOT off), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+     s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                  ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+     e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS h FROM s),
+     l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+     r AS (SELECT doc_id AS node, doc_id AS top FROM s UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.top)
+SELECT node AS doc_id, any_value(len(sh)) AS n_shingles, min(top) AS component_id FROM r JOIN s ON s.doc_id = r.node GROUP BY node
+"""
