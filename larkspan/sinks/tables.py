@@ -6,7 +6,7 @@ equal in it by a hash of their values): the last one stands, for an insert that
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
