@@ -20,6 +20,11 @@ def speaker_number(n: Column) -> Column:
     return F.format_string("sp_%05d", n)
 
 
+def rounded(x: Column, places: int) -> Column:
+    """As SQL engines round doubles: the product with the power of ten, not the printed digits, decides on halves."""
+    return F.round(x * 10.0**places) / 10.0**places
+
+
 def six_digits(n: Column) -> Column:
     return F.lpad(n.cast("string"), 6, "0")
 

@@ -58,12 +58,12 @@ def as_of(times: DataFrame, marks: DataFrame, key: str, at: str, mark: str, valu
 
 def restore_time(segments: DataFrame, speech: DataFrame, key: str = "id") -> DataFrame:
     """Segments of a file without its pauses, in the file's own time, cut to the speech regions they touch."""
-    marks = offsets(speech, key).select(key, "offset", "shift")
-    numbered = segments.withColumn("__n", F.monotonically_increasing_id())
-    ends = numbered.select(key, "__n", F.explode(F.array("start", "end")).alias("t")).distinct()
-    moved = as_of(ends, marks, key, "t", "offset", "shift").withColumn("to", F.col("t") + F.col("shift"))
-    spans = moved.groupBy("__n").agg(F.min("to").alias("start"), F.max("to").alias("end"))
-    placed = numbered.drop("start", "end").join(spans, "__n").drop("__n")
+    marks = offsets(speech, key).groupBy(key, "offset").agg(F.max("shift").alias("shift"))  # regions of no length share an offset: the last stands
+    placed = segments
+    for end in ("start", "end"):  # each row carries its own shifts: a row number made twice need not be the same
+        placed = as_of(placed, marks.withColumnRenamed("shift", f"__{end}"), key, end, "offset", f"__{end}")
+    to = [F.col(end) + F.col(f"__{end}") for end in ("start", "end")]
+    placed = placed.withColumns({"start": F.least(*to), "end": F.greatest(*to)}).drop("__start", "__end")
     cut = overlaps(placed, speech.select(key, "start", "end"), [key])
     return cut.select(*[c for c in placed.columns if c not in ("start", "end")], F.col("common_start").alias("start"), F.col("common_end").alias("end"))
 

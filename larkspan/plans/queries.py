@@ -233,7 +233,7 @@ def restored_time(spark, sf_dir):
     low = s.groupBy("id").agg(F.min("start").alias("low"))
     spoken = s.where("speaker = 'click'").join(low, "id").select("id", "event_id", (F.col("start") - F.col("low")).alias("start"), (F.col("end") - F.col("low")).alias("end"))
     found = intervals.restore_time(spoken, speech)
-    return found.withColumn("start", F.round("start", 3)).withColumn("end", F.round("end", 3))
+    return found.withColumn("start", scalars.rounded(F.col("start"), 3)).withColumn("end", scalars.rounded(F.col("end"), 3))
 
 
 def vectors(spark, sf_dir) -> DataFrame:

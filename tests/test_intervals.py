@@ -62,6 +62,21 @@ def test_overlaps_by_cells(spark):
     assert plain == rounded(iv.overlaps(a, a, ["id"], cell=3.0), "n", "r_n", "common_start", "common_end") and len(plain) > 40
 
 
+def test_restore_time_of_rows_in_another_order_each_time(spark):
+    speech = spark.createDataFrame([("1", 10.0, 15.0), ("1", 20.0, 20.0), ("1", 30.0, 40.0)], "id string, start double, end double")
+    rows = [("1", i, i / 10, i / 10 + 0.05) for i in range(100)]
+
+    def stirred(batches):
+        import secrets
+
+        for b in batches:
+            yield b.sample(frac=1, random_state=secrets.randbits(32))
+
+    spoken = spark.createDataFrame(rows, "id string, n int, start double, end double").mapInPandas(stirred, "id string, n int, start double, end double")
+    want = [(n, round(a + (10 if n < 50 else 25), 3), round(b + (10 if n < 50 else 25), 3)) for _, n, a, b in rows]
+    assert rounded(iv.restore_time(spoken, speech), "n", "start", "end") == want
+
+
 def test_solo(spark):
     df = spark.createDataFrame([("1", 1, 0.0, 5.0), ("1", 2, 3.0, 8.0), ("2", 3, 0.0, 5.0), ("2", 4, 0.0, 5.0)], "id string, n long, start double, end double")
     assert rounded(iv.solo(df, "n"), "n", "start", "end") == [(1, 0.0, 3.0), (2, 5.0, 8.0)]
