@@ -3,8 +3,7 @@ r"""Benchmark decontamination by latent semantic retrieval.
 Benchmark items form blocks of bounded bytes, and each block is a query set against all documents. Over a block's words,
 idf comes from all documents, and words that a fiftieth of them have are left out of the vectors; a randomised singular value decomposition of TF-IDF passages (distributed products with
 a fixed random matrix, power iterations, a small problem on the driver) gives ``RANK`` latent directions. It is fitted
-on the passages of about ``SAMPLE_DOCS`` documents, chosen by the hash of their ids and texts and written once, and on all items of the block; the
-index itself covers every passage of every document. Documents are cut into windows of 8, 16, 32 ... words that overlap
+on every passage of every document, of which the words in use are written once a block, and on all items of the block. Documents are cut into windows of 8, 16, 32 ... words that overlap
 by half; a window is compared by cosine with the items of its size. Candidates are then checked on the words around the
 window: the longest common subsequence with the item must cover ``OVERLAP`` of it, or ``PARAPHRASE`` of it with
 ``OVERLAP`` of the item's answer (its last quarter, three words at least).
@@ -22,13 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspan.llm.common import encoded, lean, pieces, slices, text_of, word_hashes, written
+from larkspan.llm.common import encoded, forget, lean, pieces, slices, text_of, word_hashes, written
 
 MIN_WORDS = 5
 RANK = 64
-SAMPLE_DOCS = 4000
-#: Parts of the sample's table, so that the products over it are spread.
-SAMPLE_PARTS = 32
 BLOCK_BYTES = 4 << 20
 COSINE = 0.45
 STOP_SHARE = 0.02
@@ -47,11 +43,20 @@ class Lexicon:
 
     def __init__(self, texts: list[bytes]):
         hashes, counts = word_hashes([t.translate(_TABLE) for t in texts])
-        self.keys = np.unique(hashes)
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        self._hold(np.unique(hashes))
         self.items = np.split(np.searchsorted(self.keys, hashes), np.cumsum(counts)[:-1]) if len(texts) else []
 
+    def _hold(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(keys >> np.uint64(44)).astype(np.int64)] = True
+
+    def only(self, used: np.ndarray) -> Lexicon:
+        """Some of the words, numbered anew, and no items."""
+        out = Lexicon([])
+        out._hold(self.keys[used])
+        return out
+
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Each word's number, -1 for others."""
         out = np.full(len(hashes), -1)
@@ -104,55 +109,72 @@ def word_weights(lexicon: Lexicon, df: np.ndarray, n: int) -> np.ndarray:
     return np.where(stop, 0.0, idf)
 
 
-def _passages(words: np.ndarray, counts: np.ndarray, length: int = 32) -> np.ndarray:
-    """The passage of each word: runs of ``length`` words of a text."""
-    first = np.cumsum(counts) - counts
-    doc = np.repeat(np.arange(len(counts)), counts)
-    return np.cumsum(np.concatenate(([0], np.diff(doc * (1 << 32) + (np.arange(len(words)) - first[doc]) // length) != 0))) if len(words) else words
+def _passages(at: np.ndarray, counts: np.ndarray, length: int = 32) -> np.ndarray:
+    """The passage of the words at the ascending places ``at``: runs of ``length`` words of a text."""
+    ends, runs = np.cumsum(counts), -(-counts // length)
+    doc = np.searchsorted(ends, at, side="right")
+    return (np.cumsum(runs) - runs)[doc] + (at - (ends - counts)[doc]) // length
+
+
+def passages(docs: DataFrame, lexicon: Lexicon, weights: np.ndarray) -> DataFrame:
+    """(words, passages) of all documents: the numbers of the words with a weight and of their passages, as 32-bit
+    integers; a row for each of ``pieces``, with its own count of passages."""
+    used = np.flatnonzero(weights > 0)
+    part = lexicon.only(used)
+
+    def run(batches):
+        for batch in slices(batches):
+            texts = encoded(batch.column("text").to_pylist())
+            rows = []
+            for low, high in pieces(texts):
+                words, counts = part.read(texts[low:high])
+                known = np.flatnonzero(words >= 0)
+                rows.append((used[words[known]].astype(np.int32).tobytes(), _passages(known, counts).astype(np.int32).tobytes()))
+            yield pa.RecordBatch.from_pydict({"words": pa.array([w for w, _ in rows], pa.binary()), "passages": pa.array([p for _, p in rows], pa.binary())})
+
+    return docs.select("text").mapInArrow(run, "words binary, passages binary")
 
 
-def _product(words: np.ndarray, passage: np.ndarray, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A' (A right) of the unit-length TF-IDF passages A."""
-    known = (words >= 0) & (idf[words] > 0)
-    words, passage = words[known], passage[known]
-    if not len(words):
-        return np.zeros_like(right)
-    n = passage.max() + 1
-    cell, tf = np.unique(passage * len(idf) + words, return_counts=True)
+def _add_product(out: np.ndarray, words: np.ndarray, passage: np.ndarray, idf: np.ndarray, right: np.ndarray) -> None:
+    """Add A' (A right) of the unit-length TF-IDF passages A to ``out``."""
+    known = idf[words] > 0
+    if not known.any():
+        return
+    cell, tf = np.unique(passage[known].astype(np.int64) * len(idf) + words[known], return_counts=True)
     row, col = cell // len(idf), cell % len(idf)
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    size = np.diff(np.append(first, len(row)))
     weight = tf * idf[col]
-    norm = np.sqrt(np.bincount(row, weight**2, minlength=n))
-    weight = weight / np.maximum(norm[row], 1e-12)
-    left = np.zeros((n, right.shape[1]))
-    np.add.at(left, row, weight[:, None] * right[col])
-    out = np.zeros_like(right)
-    np.add.at(out, col, weight[:, None] * left[row])
-    return out
+    weight = (weight / np.repeat(np.sqrt(np.add.reduceat(weight**2, first)), size))[:, None]
+    left = np.repeat(np.add.reduceat(weight * right[col], first), size, axis=0) * weight
+    order = np.argsort(col, kind="stable")
+    col = col[order]
+    first = np.flatnonzero(np.diff(col, prepend=-1))
+    out[col[first]] += np.add.reduceat(left[order], first)
 
 
-def latent_directions(sample: DataFrame, lexicon: Lexicon, idf: np.ndarray, rank: int = RANK, rounds: int = 2) -> np.ndarray:
-    """words x rank: the main right singular vectors of the sample's and the items' passages."""
+def latent_directions(own: DataFrame, lexicon: Lexicon, idf: np.ndarray, rank: int = RANK, rounds: int = 2) -> np.ndarray:
+    """words x rank: the main right singular vectors of all ``passages`` and of the items, a passage each."""
     size = len(lexicon.keys)
     right = np.random.default_rng(SEED).standard_normal((size, min(size, rank + 8)))
     counts = np.array([len(x) for x in lexicon.items])
-    own = np.concatenate(lexicon.items), np.repeat(np.arange(len(counts)), counts)
+    items = np.concatenate(lexicon.items), np.repeat(np.arange(len(counts)), counts)
 
     def times(right: np.ndarray) -> np.ndarray:
         def run(batches):
             total = np.zeros_like(right)
             for batch in slices(batches):
-                texts = encoded(batch.column("text").to_pylist())
-                for low, high in pieces(texts):
-                    words, n = lexicon.read(texts[low:high])
-                    total += _product(words, _passages(words, n), idf, right)
+                for words, passage in zip(batch.column("words").to_pylist(), batch.column("passages").to_pylist(), strict=True):
+                    _add_product(total, np.frombuffer(words, np.int32), np.frombuffer(passage, np.int32), idf, right)
             step = 512
             yield pa.RecordBatch.from_pydict({"at": pa.array(range(0, size, step), pa.int32()), "rows": pa.array([total[i : i + step].tobytes() for i in range(0, size, step)], pa.binary())})
 
         def add(rows: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"at": rows["at"][:1], "rows": [sum(np.frombuffer(x, float) for x in rows["rows"]).tobytes()]})
 
-        out = _product(*own, idf, right)
-        for r in sample.mapInArrow(run, "at int, rows binary").groupBy("at").applyInPandas(add, "at int, rows binary").collect():  # the block's words x rank
+        out = np.zeros_like(right)
+        _add_product(out, *items, idf, right)
+        for r in own.mapInArrow(run, "at int, rows binary").groupBy("at").applyInPandas(add, "at int, rows binary").collect():  # the block's words x rank
             part = np.frombuffer(r["rows"], float).reshape(-1, right.shape[1])
             out[r["at"] : r["at"] + len(part)] += part
         return out
@@ -200,10 +222,7 @@ class Searcher:
         self.lexicon, self.ids, self.cosine = lexicon, ids, cosine
         self.vectors = (weights[:, None] * directions).astype(np.float32)
         used = np.flatnonzero(weights > 0)
-        self.rare = Lexicon([])
-        self.rare.keys, self.number = lexicon.keys[used], used
-        self.rare.maybe = np.zeros(1 << 20, bool)
-        self.rare.maybe[(self.rare.keys >> np.uint64(44)).astype(np.int64)] = True
+        self.rare, self.number = lexicon.only(used), used
         self.words = [set(x[weights[x] > 0].tolist()) for x in lexicon.items]
         self.by_size: dict[int, tuple[list[int], np.ndarray, int]] = {}
         for size in set().union(*(window_sizes(len(x)) for x in lexicon.items)):
@@ -252,7 +271,7 @@ class Searcher:
         return [(d, self.ids[i], s) for (d, i), s in found.items()]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", sample_docs: int = SAMPLE_DOCS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(id, item id, overlap) of every document that holds a benchmark item; overlap: the item's share in the
     common subsequence."""
     lean(docs.sparkSession)
@@ -260,10 +279,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     texts = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
     items = benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("long").alias("item"), text_of(item_text_col).alias("text"))
     blocks = max(1, -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
-    n_docs, found = docs.count(), None
-    rate = min(1.0, sample_docs / max(1, n_docs))
-    lot = F.xxhash64("id", "text").bitwiseAND((1 << 62) - 1) < int(rate * (1 << 62))
-    sample = written(texts.where(lot).select("text").repartition(SAMPLE_PARTS), "passage-sample")  # one scan; a small table
+    found = None
     for b in range(blocks):
         own = [(r["item"], r["text"].encode()) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]  # about block_bytes
         lexicon = Lexicon([t for _, t in own])
@@ -273,7 +289,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         ids, lexicon.items = [own[k][0] for k in long_enough], [lexicon.items[k] for k in long_enough]
         df, n = document_frequencies(texts, lexicon)
         weights = word_weights(lexicon, df, n)
-        searcher = Searcher(lexicon, ids, weights, latent_directions(sample, lexicon, weights))
+        fitted = written(passages(texts, lexicon, weights), "passages")  # one scan; only the words in use
+        searcher = Searcher(lexicon, ids, weights, latent_directions(fitted, lexicon, weights))
+        forget(fitted)
 
         def run(batches, searcher=searcher):
             for batch in slices(batches):

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from larkspan.llm import decontamination as m
 
 
@@ -51,6 +53,39 @@ def test_planted_and_brute_force(spark, docs):
     assert truth <= blocks
 
 
+def test_directions_come_from_all_passages(docs, monkeypatch):
+    """With fewer words than the random matrix has columns the directions are exact."""
+    rng = random.Random(6)
+    names = [f"w{k}" for k in range(70)]
+    items = [(k, " ".join(names[10 * k : 10 * k + 10])) for k in range(7)]
+    rows = [(d, " ".join(["of"] * 3 + (rng.choices(names[: 10 + d // 100], k=4) if d % 4 == 0 else []))) for d in range(6000)]
+    directions, kept = m.latent_directions, []
+    monkeypatch.setattr(m, "latent_directions", lambda own, lexicon, idf: kept.append((lexicon, idf, directions(own, lexicon, idf))) or kept[-1][-1])
+    m.leaks(docs(rows), docs(items, "item_id long, text string")).count()
+    (lexicon, idf, found), *more = kept
+    assert not more and found.shape == (70, m.RANK)
+    gram = np.zeros((70, 70))
+    for _, text in rows + items:
+        words = lexicon.read([text.encode()])[0]
+        tf = np.bincount(words[words >= 0], minlength=70) * idf
+        if tf.any():
+            gram += np.outer(tf, tf) / (tf @ tf)
+    want, got = np.linalg.eigvalsh(gram)[::-1][: m.RANK], found.T @ gram @ found
+    assert np.abs(got - np.diag(want)).max() < 1e-4 * want[0]
+
+
+def test_passages_are_runs_of_a_text(docs):
+    texts = [" ".join(f"w{k % 50}" for k in range(n)) for n in (0, 1, 32, 33, 100)]
+    lexicon = m.Lexicon([" ".join(f"w{k}" for k in range(0, 50, 2)).encode()])
+    got = []
+    for r in m.passages(docs([(k, t) for k, t in enumerate(texts)]).coalesce(1), lexicon, np.ones(25)).collect():
+        words, own = np.frombuffer(r.words, np.int32).tolist(), np.frombuffer(r.passages, np.int32).tolist()
+        got += [sorted(w for w, p in zip(words, own, strict=True) if p == q) for q in sorted(set(own))]
+    numbers = [lexicon.read([t.encode()])[0].tolist() for t in texts]
+    want = [sorted(w for w in n[at : at + 32] if w >= 0) for n in numbers for at in range(0, len(n), 32)]
+    assert sorted(got) == sorted(w for w in want if w)
+
+
 def test_empty(docs):
     items = docs([(1, "a b c d e f g h")], "item_id long, text string")
     assert m.leaks(docs([]), items).count() == 0
