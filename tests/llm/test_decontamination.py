@@ -74,6 +74,17 @@ def test_directions_come_from_all_passages(docs, monkeypatch):
     assert np.abs(got - np.diag(want)).max() < 1e-4 * want[0]
 
 
+def test_pipeline_fits_on_all_rows(spark, docs, monkeypatch):
+    import corpus_pipeline
+
+    directions, seen = m.latent_directions, []
+    monkeypatch.setattr(m, "latent_directions", lambda own, lexicon, idf: seen.append(sum(len(r.words) // 4 for r in own.select("words").collect())) or directions(own, lexicon, idf))
+    monkeypatch.setattr(corpus_pipeline.queries, "table", lambda *_: docs([(1, "a b c d e f g h")], "item_id long, text string"))
+    rows = [(d, "of of " + ("a" if d % 100 == 0 else "")) for d in range(6000)]
+    corpus_pipeline.drop_leaks(spark, docs(rows), "").count()
+    assert seen == [60]
+
+
 def test_passages_are_runs_of_a_text(docs):
     texts = [" ".join(f"w{k % 50}" for k in range(n)) for n in (0, 1, 32, 33, 100)]
     lexicon = m.Lexicon([" ".join(f"w{k}" for k in range(0, 50, 2)).encode()])
