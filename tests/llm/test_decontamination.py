@@ -85,6 +85,35 @@ def test_pipeline_fits_on_all_rows(spark, docs, monkeypatch):
     assert seen == [60]
 
 
+def test_pipeline_directions_are_those_of_all_rows(spark, docs, monkeypatch):
+    """By value: what the pipeline's stage searches with spans the main directions of every passage of its rows."""
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    names = [f"w{k}" for k in range(70)]
+    items = [(k, " ".join(names[10 * k : 10 * k + 10])) for k in range(7)]
+    rows = [(d, " ".join(["of"] * 3 + (rng.choices(names[: 10 + d // 100], k=4) if d % 4 == 0 else []))) for d in range(6000)]
+    kept = []
+
+    class Searcher(m.Searcher):
+        def __init__(self, lexicon, ids, weights, directions):
+            kept.append((lexicon, weights, directions))
+            super().__init__(lexicon, ids, weights, directions)
+
+    monkeypatch.setattr(m, "Searcher", Searcher)
+    monkeypatch.setattr(corpus_pipeline.queries, "table", lambda *_: docs(items, "item_id long, text string"))
+    corpus_pipeline.drop_leaks(spark, docs(rows), "")
+    (lexicon, weights, found), *more = kept
+    gram = np.zeros((70, 70))
+    for _, text in rows + items:
+        words = lexicon.read([text.encode()])[0]
+        tf = np.bincount(words[words >= 0], minlength=70) * weights
+        if tf.any():
+            gram += np.outer(tf, tf) / (tf @ tf)
+    want = np.linalg.eigvalsh(gram)[::-1][: m.RANK]
+    assert not more and np.abs(found.T @ gram @ found - np.diag(want)).max() < 1e-4 * want[0]
+
+
 def test_passages_are_runs_of_a_text(docs):
     texts = [" ".join(f"w{k % 50}" for k in range(n)) for n in (0, 1, 32, 33, 100)]
     lexicon = m.Lexicon([" ".join(f"w{k}" for k in range(0, 50, 2)).encode()])
